@@ -6,12 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoweave.functions import ids
-from geoweave.llm import canonical
+from geoweave.llm import canonical, leak, mixing, pii
 from geoweave.llm.components import components, star_edges
 from geoweave.runtime import Scratch, in_force, table
 
 #: Entries of the canonical list that one task holds at a time.
 REFERENCE_BLOCK = 200_000
+#: Evaluation items searched at once.
+ITEM_BLOCK = 5_000
+#: A rank file of a public tokenizer; the driver reads it and sends it along.
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: Key of the surrogates; a deployment sets its own.
+SURROGATE_KEY = "geoweave"
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -66,5 +72,109 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return _p6(spark, d).select("mention_id", "geoname_id")
 
 
-QUERIES = {"p5_found": p5_found, "p6_found": p6_found}
+def _p7(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text").where("text is not null")
+    items = table(spark, d, "evalitem").select("item_id", "text").where("text is not null")
+    blocks = max(1, -(-items.count() // ITEM_BLOCK))
+    out = None
+    for b in range(blocks):
+        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
+        got = docs.mapInPandas(leak.leak_frames([tuple(r) for r in part.collect()]), "doc_id long, item_id long, words int")
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that hold a passage of an evaluation item, with the item."""
+    return _p7(spark, d).select("doc_id", "item_id")
+
+
+def p7_leaked_items(spark: SparkSession, d: str) -> DataFrame:
+    """Per leaked item: in how many documents, and the longest passage in words."""
+    return _p7(spark, d).groupBy("item_id").agg(F.count(F.lit(1)).alias("documents"), F.max("words").alias("longest"))
+
+
+def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    import public_tokenizers
+
+    with open(TOKENIZER, "rb") as f:
+        ranks = f.read()
+    docs = table(spark, d, "documents").select("doc_id", mixing.source_name(F.col("source")).alias("source"), "text")
+    sized = docs.mapInPandas(mixing.token_frames(ranks, public_tokenizers.PATTERN), "doc_id long, source string, tokens long")
+    return mixing.mix(sized, table(spark, d, "mixtarget"), Scratch(spark, "p8"))
+
+
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The mixtures: one row per chosen copy of a document, with its virtual finish time."""
+    return _mixed(spark, d)[0]
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual shares of every source in every mix."""
+    chosen, t, _ = _mixed(spark, d)
+    return mixing.shares(chosen, t)
+
+
+def _name_lexicon(spark: SparkSession, d: str) -> tuple[list[str], list[str]]:
+    """Given and middle names of the person table, by their share of its rows.
+
+    At most 1 / LEXICON_SHARE tokens per name position pass, whatever the size.
+    """
+    p = table(spark, d, "historicalperson").where("name is not null").select("name")
+    words = F.split(F.trim(F.when(F.col("name").contains(","), F.substring_index("name", ",", -1)).otherwise(F.regexp_replace("name", r"\s+\S+$", ""))), r"\s+")
+    tok = p.select(F.posexplode(words).alias("pos", "w")).select((F.col("pos") == 0).alias("first"), F.initcap("w").alias("w"))
+    tok = tok.where(~F.col("w").contains(".") & (F.length("w") > 2) & ~F.lower("w").isin("van", "von", "de", "du"))
+    n = p.agg(F.count(F.lit(1)).alias("n"))
+    rows = tok.groupBy("first", "w").agg(F.count(F.lit(1)).alias("c")).join(F.broadcast(n)).where(F.col("c") >= F.greatest(F.lit(2), F.lit(pii.LEXICON_SHARE) * F.col("n"))).select("first", "w").collect()
+    return sorted(r.w for r in rows if r.first), sorted(r.w for r in rows if not r.first)
+
+
+def _entities(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text").where("text is not null")
+    return docs.mapInPandas(pii.find_frames(*_name_lexicon(spark, d)), "doc_id long, start int, stop int, kind string, found_text string, entity string")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Personal data in documents, by kind, as it stands in the text."""
+    return _entities(spark, d).select("doc_id", "kind", "found_text").distinct()
+
+
+def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with typed placeholders (tagged) and with keyed surrogates (surrogate).
+
+    Surrogates are drawn per distinct entity over all documents.  Where two
+    entities drew the same one, or one equals an entity that really occurs, all
+    but the first draw again until none collide.
+    """
+    scratch = Scratch(spark, "p9")
+    hits = scratch.save(_entities(spark, d), "hits")
+    known = scratch.save(hits.select("kind", "entity").distinct(), "entities")
+    draw = lambda df: df.mapInPandas(pii.core_frames(SURROGATE_KEY), "kind string, entity string, attempt int, core string")
+    cur = scratch.save(draw(known.withColumn("attempt", F.lit(0))), "draw")
+    while True:
+        firsts = cur.groupBy("kind", "core").agg(F.min("entity").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+        taken = known.select("kind", F.col("entity").alias("_real"))
+        bad = cur.join(firsts, ["kind", "core"]).where(F.col("entity") != F.col("first")).select("kind", "entity")
+        real = cur.join(taken, (cur["kind"] == taken["kind"]) & (F.lower(cur["core"]) == taken["_real"])).select(cur["kind"], cur["entity"])
+        again = scratch.save(bad.unionByName(real).distinct(), "again")
+        if again.isEmpty():
+            break
+        redo = draw(cur.join(again, ["kind", "entity"], "left_semi").select("kind", "entity", (F.col("attempt") + 1).cast("int").alias("attempt")))
+        cur = scratch.save(cur.join(again, ["kind", "entity"], "left_anti").unionByName(redo), "draw")
+    placed = hits.join(cur.select("kind", "entity", "core"), ["kind", "entity"])
+    lists = placed.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop", "kind", "entity", "core")).alias("hits"))
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return docs.join(lists, "doc_id", "left").mapInPandas(pii.replace_frames, "doc_id long, tagged string, surrogate string")
+
+
+QUERIES = {
+    "p5_found": p5_found,
+    "p6_found": p6_found,
+    "p7_found": p7_found,
+    "p7_leaked_items": p7_leaked_items,
+    "p8_mix": p8_mix,
+    "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_redacted": p9_redacted,
+}
 ORACLES: dict[str, str] = {}
