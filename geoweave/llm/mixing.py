@@ -79,7 +79,9 @@ def _last_time(t: DataFrame, total: DataFrame) -> DataFrame:
     # One document per source may stand beyond the fluid limit.
     spare = F.sum("longest").over(Window.partitionBy("mix"))
     at = (F.col("budget") + spare - before) / rest
-    return t.select("mix", "budget", F.when(at <= F.col("end"), at).alias("at")).groupBy("mix").agg(F.max("budget").alias("budget"), F.min("at").alias("horizon"))
+    # The first source, by when it runs out, that has not run out when the budget is full.
+    t = t.select("mix", "budget", "end", at.alias("at")).withColumn("open", F.when(F.col("at") <= F.col("end"), F.col("end")))
+    return t.groupBy("mix").agg(F.max("budget").alias("budget"), F.min_by(F.when(F.col("open").isNotNull(), F.col("at")), "open").alias("horizon"))
 
 
 def mix(docs: DataFrame, raw_targets: DataFrame, scratch: Scratch, seed: str = "mix") -> tuple[DataFrame, DataFrame, DataFrame]:
