@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoweave.functions import ids
-from geoweave.llm import canonical, leak, mixing, pii
+from geoweave.functions import geo, ids
+from geoweave.llm import canonical, entity_match, leak, mixing, pii
 from geoweave.llm.components import components, star_edges
 from geoweave.runtime import Scratch, in_force, table
 
@@ -20,6 +20,31 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SURROGATE_KEY = "geoweave"
 
 
+def p1_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs that are one real place, with calibrated confidence, distance and spelling difference."""
+    none = F.array().cast("array<string>")
+    p = in_force(table(spark, d, "place"), "geonameId", ["name", "asciiName", "alternateNames", "wikidataAlternateNames", "location", "latitude", "longitude", "featureClass", "featureCode", "countryCode", "wikidataId"])
+    code = lambda c: F.when(F.trim(c) != "", F.upper(F.trim(c)))
+    places = p.select(
+        F.col("geonameId").alias("id"), F.concat(F.array("name", "asciiName"), F.coalesce("alternateNames", none), F.coalesce("wikidataAlternateNames", none)).alias("names"),
+        geo.position(F.col("location"), F.col("latitude"), F.col("longitude")).alias("pos"), code(F.col("featureCode")).alias("code"), code(F.col("featureClass")).alias("class"),
+        code(F.col("countryCode")).alias("country"), ids.qid(F.col("wikidataId")).alias("other_id"),
+    )
+    w = in_force(table(spark, d, "wikidataplace"), "qid", ["name", "alternateNames", "officialNames", "latitude", "longitude", "instanceOfLabel", "countryQid", "geonamesId"])
+    others = w.select(
+        F.col("qid").alias("id"), F.concat(F.array("name"), F.coalesce("alternateNames", none), F.coalesce("officialNames", none)).alias("names"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon"),
+        F.when(F.trim("instanceOfLabel") != "", F.lower(F.trim("instanceOfLabel"))).alias("label"), ids.qid(F.col("countryQid")).alias("country_qid"),
+        ids.gazetteer_id(F.regexp_replace("geonamesId", r"\.0+$", "")).alias("place_id"),
+    )
+    countries = table(spark, d, "country").select(ids.qid(F.col("qid")).alias("country_qid"), F.upper(F.trim("code")).alias("code"))
+    return entity_match.match(places, others, countries, Scratch(spark, "p1"))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of places and entities that are one real-world thing."""
+    return p1_matches(spark, d).select("geoname_id", "qid")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Groups of person records linked by QID, VIAF id or a judgement."""
     scratch = Scratch(spark, "p5")
@@ -168,6 +193,8 @@ def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_matches": p1_matches,
     "p5_found": p5_found,
     "p6_found": p6_found,
     "p7_found": p7_found,
