@@ -50,14 +50,12 @@ class PointTree:
         )
         self.spots = scratch.save(spot, "spots")
         at = F.explode(F.array(*[F.lit(v) for v in LEVELS])).alias("level")
-        shift = F.lit(_DEEP) - F.col("level")
         up = lambda c, by: F.expr(f"shiftright({c}, {by})")
         full = (
             self.spots.select("*", at)
             .groupBy("level", up("iy", f"{_DEEP} - level").alias("iy"), up("ix", f"{_DEEP} - level").alias("ix"))
             .agg(F.sum("cnt").alias("cnt"), F.min("s").alias("s"), F.max("n").alias("n"), F.min("w").alias("w"), F.max("e").alias("e"))
         )
-        del shift
         # A node is in the tree if its parent is too full to be a leaf.
         full = scratch.save(full, "levels")
         above = F.create_map(*[F.lit(x) for pair in zip(LEVELS[1:], LEVELS) for x in pair])
@@ -82,6 +80,11 @@ class PointTree:
         kept = self.nodes.where((F.col("level") < level) & F.col("leaf")).withColumn("parent", F.col("node"))
         return here.unionByName(kept).drop("level")
 
+    def first_cells(self) -> DataFrame:
+        """The nodes of the first step, and the root if it is a leaf, each standing for itself."""
+        here = self.nodes.where((F.col("level") == LEVELS[1]) | ((F.col("level") == 0) & F.col("leaf")))
+        return here.withColumn("parent", F.col("node")).drop("level")
+
     def packed(self) -> DataFrame:
         """Leaf blocks: (node, block, pts), each array at most about ``block`` points long."""
         leaf = self.nodes.where("leaf").select("node", "blocks")
@@ -115,12 +118,8 @@ def near_pairs(points: DataFrame, km: float, scratch: Scratch, leaf_cap: int = 6
     """
     tree = PointTree(points, scratch, leaf_cap)
     limit = geo.hav_of_km(km)
-    live = tree.root.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(False).alias("sure"), F.lit(False).alias("done"), F.lit(1).alias("ab"), F.lit(1).alias("bb"))
+    live = tree.root.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(False).alias("sure"))
     finished: list[DataFrame] = []
-    if LEVELS[0] == 0:
-        only = tree.root.where("leaf").select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(False).alias("sure"), F.lit(True).alias("done"), F.col("blocks").alias("ab"), F.col("blocks").alias("bb"))
-        finished.append(only)
-        live = live.join(tree.root.where(~F.col("leaf")).select(F.col("node").alias("a")), "a", "left_semi")
     for level in LEVELS[1:]:
         side = tree.step(level)
         pair = live.select("a", "b", "sure").join(_renamed(side, "l"), F.col("a") == F.col("lparent")).join(_renamed(side, "r"), F.col("b") == F.col("rparent"))
@@ -166,13 +165,16 @@ def points_in_regions(points: DataFrame, regions: DataFrame, scratch: Scratch, l
         "region_id", "edges", ex(F.array_min, "y1", "y2").alias("zs"), ex(F.array_max, "y1", "y2").alias("zn"), ex(F.array_min, "x1", "x2").alias("zw"), ex(F.array_max, "x1", "x2").alias("ze")
     )
     reg = scratch.save(reg, "regions")
-    start = tree.root.select(F.col("node").alias("a"), "leaf", "blocks")
-    # One row meets the regions: the root stands for all points.
-    live = reg.select("region_id", F.lit(0).cast("long").alias("a")).join(start, "a").withColumn("sure", F.lit(False))
-    finished = [live.where("leaf").select("region_id", "a", "sure", "blocks")]
-    live = live.where(~F.col("leaf")).select("region_id", "a", "sure")
+    # The root stands for all points: one step down, a region meets only the cells its bounds touch.
+    top = LEVELS[1]
+    side = 1 << top
+    span = lambda lo, hi, width: F.sequence(*[F.greatest(F.lit(0), F.least(F.lit(side - 1), F.floor((F.col(c) + width / 2) / width * side))).cast("long") for c in (lo, hi)])
+    cells = reg.select("region_id", F.explode(span("zs", "zn", 180.0)).alias("iy"), "zw", "ze").select("region_id", "iy", F.explode(span("zw", "ze", 360.0)).alias("ix"))
+    opened = cells.select("region_id", _key(top, F.col("iy"), F.col("ix")).alias("a")).unionByName(cells.select("region_id", _key(0, F.col("iy") * 0, F.col("ix") * 0).alias("a")).distinct())
+    live = opened.withColumn("sure", F.lit(False))
+    finished: list[DataFrame] = []
     for level in LEVELS[1:]:
-        kids = _renamed(tree.step(level), "l")
+        kids = _renamed(tree.first_cells() if level == top else tree.step(level), "l")
         met = live.join(kids, F.col("a") == F.col("lparent")).join(reg, "region_id")
         box = _box("l")
         overlap = (box["s"] <= F.col("zn")) & (box["n"] >= F.col("zs")) & (box["w"] <= F.col("ze")) & (box["e"] >= F.col("zw"))
