@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from geoweave.functions import geo, ids
 from geoweave.llm import canonical, entity_match, leak, mixing, pii
 from geoweave.llm.components import components, star_edges
+from geoweave.plans import base
 from geoweave.runtime import Scratch, in_force, table
 
 #: Entries of the canonical list that one task holds at a time.
@@ -204,4 +205,12 @@ QUERIES = {
     "p9_found": p9_found,
     "p9_redacted": p9_redacted,
 }
-ORACLES: dict[str, str] = {}
+_VIAF = "nullif(regexp_extract(regexp_replace(regexp_replace({x}, '[<>\\s]', '', 'g'), '/+$', ''), '(?:^|[^0-9])0*([1-9][0-9]*)$', 1), '')"
+ORACLES: dict[str, str] = {
+    "p5_found": base.with_views(f"""with recursive v as (select personId, {_VIAF.format(x="viafId")} v from (select personId, viafId, row_number() over (partition by personId order by loadedAt desc) r from historicalperson) where r = 1),
+ k as (select distinct personId, key from (select personId, 'q' || wikidataQid key from {{h}} union all select personId, 'q' || substr(personId, 4) from h where personId like 'wd:%' union all select personId, 'v' || v from v
+ union all select personId, 'v' || substr(personId, 6) from v where personId like 'viaf:%'
+ union all select unnest([a, b]), 'm' || matchId from (select *, row_number() over (partition by a, b order by judgedAt desc, matchId desc) r from {{pair}}) where r = 1 and lower(trim(verdict)) = 'match' and a in (select personId from h) and b in (select personId from h)) where key is not null),
+ g as (select k1.personId a, k2.personId b from k k1 join k k2 using (key) group by all), r as (select a, b from g union select r.a, g.b from r join g on g.a = r.b)
+ select a person_id, min(b) group_id from r group by 1 having count(*) > 1"""),
+}
