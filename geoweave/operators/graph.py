@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from geoweave.runtime import Scratch
+
 #: Admin columns, coarsest first; a division of level n is keyed by country and the first n.
 ADMIN = ["admin1Code", "admin2Code", "admin3Code", "admin4Code"]
 
@@ -19,6 +21,20 @@ def divisions(places: DataFrame) -> DataFrame:
     return d.where(full)
 
 
+def code_divisions(places: DataFrame) -> DataFrame:
+    """Divisions as the places' own codes name them: (code, parent, level, countryCode), one row each.
+
+    ``code`` is the composite key joined by dots; level 1 hangs on the country.
+    """
+    ok = F.col("countryCode").isNotNull()
+    rows, code = [], F.col("countryCode")
+    for i, c in enumerate(ADMIN):
+        ok, parent = ok & F.col(c).isNotNull(), code
+        code = F.concat_ws(".", code, F.col(c))
+        rows.append(F.when(ok, F.struct(code.alias("code"), parent.alias("parent"), F.lit(i + 1).alias("level"), F.col("countryCode").alias("countryCode"))))
+    return places.select(F.explode(F.array_compact(F.array(*rows))).alias("d")).select("d.*").distinct()
+
+
 def located_in(places: DataFrame, level: int) -> DataFrame:
     """(src, dst) from every place that is no division to its division of that level.
 
@@ -65,14 +81,20 @@ def undirected(edges: DataFrame) -> DataFrame:
     return edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
 
 
-def closure(spark, edges: DataFrame, limit: int = 1000) -> DataFrame:
-    """(src, dst) reachable in one or more hops, by a recursive query; cycles end since rows are distinct."""
-    edges.select("src", "dst").createOrReplaceTempView("_gw_edges")
-    spark.conf.set("spark.sql.cteRecursionLevelLimit", str(limit))
-    return spark.sql(
-        "with recursive r(src, dst, n) as (select src, dst, 1 from _gw_edges union all select r.src, e.dst, n + 1 from r join _gw_edges e on r.dst = e.src where n < 100)"
-        " select distinct src, dst from r"
-    )
+def closure(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """(src, dst) reachable in one or more hops; ends on cycles too.
+
+    Pairs found last are extended by all pairs known, which doubles the reach
+    per round; each round is written, so the plan does not grow with the depth.
+    """
+    known = scratch.save(edges.select("src", "dst").where("src is not null and dst is not null").distinct(), "edges")
+    fresh = known
+    while True:
+        longer = fresh.join(known.select(F.col("src").alias("dst"), F.col("dst").alias("far")), "dst").select("src", F.col("far").alias("dst")).distinct()
+        fresh = scratch.save(longer.join(known, ["src", "dst"], "left_anti"), "fresh")
+        if fresh.isEmpty():
+            return known
+        known = known.unionByName(fresh)
 
 
 def share(part: Column, whole: Column, digits: int = 4) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from geoweave.functions import geo, ids
 from geoweave.operators import dualtree, heavy
 from geoweave.operators.hierarchy_tour import Hierarchy
+from geoweave.plans import base
 from geoweave.runtime import Scratch, in_force, table
 
 #: Smallest share of all rows that makes a country heavy in p2_found.
@@ -98,3 +99,21 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_hierarchy": p4_hierarchy,
 }
+
+_POLYGON = """e as (select zoneId, v[i] a, v[i % len(v) + 1] b from (select zoneId, v, unnest(range(1, len(v) + 1)) i from (select zoneId, list_transform(string_split(regexp_extract(boundary, '\\(\\(([^()]*)\\)\\)', 1), ','),
+ lambda x: list_transform(string_split(trim(x), ' '), lambda y: y::double)) v from surveyzone)))"""
+_UP = """k as (select line, node, min(parent) parent from (select kind line, child node, parent from {parent} union all select 'succession', qid, replacedByQid from {w} union all select 'succession', replacesQid, qid from w)
+ where node is not null and parent is not null group by 1, 2),
+ r as (select line, node, parent top, 1 depth from k union all select r.line, r.node, k.parent, depth + 1 from r join k on k.line = r.line and k.node = r.top where depth < 400)"""
+
+ORACLES: dict[str, str] = {
+    "p2_found": "select countryCode country_code from place where countryCode is not null group by 1 having count(*) >= 0.04 * (select count(*) from place)",
+    "p2_country_profile": base.with_views("""with f as (select * from (select geonameId, countryCode cc, population, row_number() over (partition by geonameId order by loadedAt desc) r from place where geonameId is not null) where r = 1 and cc is not null),
+ g as (select cc, count(*) n, sum(population) s, avg(population) m, max(population) x from f group by 1)
+ select cc country_code, max(n)::bigint n_places, max(s)::bigint sum_population, max(x) max_population, count(*) filter (population > m)::bigint n_above_mean, min(case when population = x then geonameId end) top_place from f join g using (cc) group by 1"""),
+    "p3_found": base.with_views(f"""with {_POLYGON} select 'near' kind, a.geonameId left_id, b.geonameId right_id from {{p}} a join p b on a.geonameId < b.geonameId and abs(a.lat - b.lat) < 0.02
+ where 2 * 6371 * asin(sqrt(least(1, sin(radians(b.lat - a.lat) / 2) ** 2 + cos(radians(a.lat)) * cos(radians(b.lat)) * sin(radians(b.lon - a.lon) / 2) ** 2))) <= 2
+ union all select 'zone', zoneId, geonameId from (select zoneId, geonameId, count(*) filter ((e.a[2] > p.lat) <> (e.b[2] > p.lat) and p.lon < (e.b[1] - e.a[1]) * (p.lat - e.a[2]) / nullif(e.b[2] - e.a[2], 0) + e.a[1]) hits
+ from e, p where p.lat is not null group by 1, 2) where hits % 2 = 1"""),
+    "p4_found": base.with_views("with recursive " + _UP + """ select line, node node_id, case when max(depth) = 400 then '' else max_by(top, depth) end root_id, case when max(depth) = 400 then -1 else max(depth) end::int depth from r group by 1, 2"""),
+}
