@@ -21,7 +21,7 @@ def non_empty(c: Column) -> Column:
 
 def split_names(c: Column) -> Column:
     """Comma-separated names as an array without blanks and empties; null gives none."""
-    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def office_name(c: Column) -> Column:

@@ -29,7 +29,7 @@ def _joined(c, sep: str = ";"):
 @query("""select geonameId, array_to_string(list_sort(list_filter(list_transform(coalesce(alternateNames, []), lambda x: trim(x)), lambda x: x <> '')), ';') alt_names,
  coalesce(population, 0) population, coalesce(elevation, 0) elevation, concat_ws('.', featureClass, featureCode) full_code from {p} where lat is not null""")
 def gaz_cleanse(spark, d):
-    alt = F.filter(F.transform(F.coalesce("alternateNames", F.array().cast("array<string>")), F.trim), lambda x: x != "")
+    alt = F.filter(F.transform(F.coalesce("alternateNames", F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != "")
     return places(spark, d).where("lat is not null").select(
         "geonameId", _joined(alt).alias("alt_names"), F.coalesce("population", F.lit(0)).alias("population"), F.coalesce("elevation", F.lit(0)).alias("elevation"), F.concat_ws(".", "featureClass", "featureCode").alias("full_code")
     )

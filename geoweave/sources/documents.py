@@ -98,8 +98,9 @@ def write_document(df: DataFrame, path: str, name: str, metadata: dict) -> None:
 
 def write_statements(df: DataFrame, label: str, path: str) -> None:
     """Graph creation statements, one node per line; nulls are left out."""
-    lit = lambda c: F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}: "), F.to_json(F.array(F.col(c)))))
-    body = F.regexp_replace(F.concat_ws(", ", *[lit(c) for c in df.columns]), r"(\w+: )\[((?:[^\[\]\"]|\"(?:[^\"\\]|\\.)*\")*)\](?=, \w+: |$)", "$1$2")
+    inner = lambda j: F.substr(j, F.lit(2), F.length(j) - 2)
+    lit = lambda c: F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}: "), inner(F.to_json(F.array(F.col(c))))))
+    body = F.concat_ws(", ", *[lit(c) for c in df.columns])
     df.select(F.concat(F.lit(f"CREATE (:{label} {{"), body, F.lit("});")).alias("value")).write.mode("overwrite").text(path)
 
 
