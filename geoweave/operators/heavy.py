@@ -24,7 +24,7 @@ def heavy_candidates(df: DataFrame, key: str, min_share: float) -> DataFrame:
     """
     floor = max(min_share - 3.5 / TRACKED, min_share / 2)
     k = min(int(1 / floor) + 2, TRACKED)
-    one = df.agg(
+    one = df.select(key).agg(
         F.expr(f"approx_top_k(`{key}`, {k}, {TRACKED})").alias("_top"),
         F.count(F.lit(1)).alias("total"),
     )
