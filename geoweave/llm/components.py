@@ -28,7 +28,7 @@ def star_edges(members: DataFrame, scratch: Scratch) -> DataFrame:
 
     ``members`` has (vid, key).  Linear in the rows: never all pairs of a group.
     """
-    m = scratch.save(members.where("key is not null").distinct(), "members")
+    m = scratch.save(members.select("vid", "key").where("key is not null").distinct(), "members")
     low = m.groupBy("key").agg(F.min("vid").alias("low"), F.max("vid").alias("_high")).where(F.col("low") < F.col("_high")).select("key", "low")
     return _join(m, low, "key", m.count()).where(F.col("vid") != F.col("low")).select(F.col("low").alias("a"), F.col("vid").alias("b"))
 

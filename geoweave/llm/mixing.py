@@ -92,7 +92,7 @@ def mix(docs: DataFrame, raw_targets: DataFrame, scratch: Scratch, seed: str = "
     Documents without tokens or without a target are never chosen.  Chosen:
     (mix, source, doc_id, copy, tokens, finish), one row per copy.
     """
-    docs = scratch.save(docs, "tokens")
+    docs = scratch.save(docs.select("doc_id", "source", "tokens"), "tokens")
     total = scratch.save(docs.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("n")), "total")
     own = docs.where("source is not null and tokens > 0")
     sizes = own.groupBy("source").agg(F.sum("tokens").alias("size"), F.max("tokens").alias("longest"))
