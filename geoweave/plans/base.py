@@ -27,41 +27,51 @@ def query(sql: str | None = None):
     return add
 
 
-def places(spark: SparkSession, d: str) -> DataFrame:
+_PLACE = "name asciiName alternateNames wikidataAlternateNames featureClass featureCode countryCode admin1Code admin2Code admin3Code admin4Code population elevation timezone modifiedDate wikidataId lat lon"
+_ENTITY = "name description alternateNames officialNames label geonamesId population inceptionDate dissolvedDate replacesQid replacedByQid countryQid lat lon"
+_PERSON = "idType name alternateNames wikidataQid viafId occupations birthDate deathDate motherId fatherId bornIn diedIn"
+#: Stored columns that a clean column is made of, where not the one of its name.
+_MADE_OF = {
+    "place": {"lat": ["location", "latitude", "longitude"], "lon": ["location", "latitude", "longitude"]},
+    "wikidataplace": {"lat": ["latitude", "longitude"], "lon": ["latitude", "longitude"], "label": ["instanceOfLabel"]},
+    "historicalperson": {"birthDate": ["birthEvent"], "deathDate": ["deathEvent"], "motherId": ["birthEvent"], "fatherId": ["birthEvent"], "bornIn": ["birthEvent"], "diedIn": ["deathEvent"]},
+}
+
+
+def _clean(spark: SparkSession, d: str, name: str, key: str, wanted: list[str], make: dict) -> DataFrame:
+    """Rows in force with the wanted clean columns; only what they are made of is read."""
+    made = _MADE_OF[name]
+    stored = list(dict.fromkeys(c for w in wanted for c in made.get(w, [w])))
+    t = table(spark, d, name)
+    if not stored:  # only the keys
+        return t.where(F.col(key).isNotNull()).select(key).distinct()
+    return in_force(t, key, stored).select(key, *[make[w]().alias(w) if w in make else F.col(w) for w in wanted])
+
+
+def places(spark: SparkSession, d: str, columns: str = _PLACE) -> DataFrame:
     """Places in force: empty codes as null, country codes in upper case, position as lat and lon."""
-    p = in_force(table(spark, d, "place"), "geonameId", [
-        "name", "asciiName", "alternateNames", "wikidataAlternateNames", "location", "latitude", "longitude", "featureClass", "featureCode", "countryCode",
-        "admin1Code", "admin2Code", "admin3Code", "admin4Code", "population", "elevation", "timezone", "modifiedDate", "wikidataId",
-    ])
-    p = p.withColumn("at", geo.position(F.col("location"), F.col("latitude"), F.col("longitude")))
-    p = p.withColumns({c: non_empty(F.col(c)) for c in ("featureClass", "featureCode", "admin1Code", "admin2Code", "admin3Code", "admin4Code")})
-    p = p.withColumns({"countryCode": F.upper(non_empty(F.col("countryCode"))), "wikidataId": ids.qid(F.col("wikidataId"))})
-    return p.select("*", F.col("at.lat").alias("lat"), F.col("at.lon").alias("lon")).drop("at", "location", "latitude", "longitude")
+    code = {c: lambda c=c: non_empty(F.col(c)) for c in ("featureClass", "featureCode", "admin1Code", "admin2Code", "admin3Code", "admin4Code")}
+    at = lambda: geo.position(F.col("location"), F.col("latitude"), F.col("longitude"))
+    make = code | {"countryCode": lambda: F.upper(non_empty(F.col("countryCode"))), "wikidataId": lambda: ids.qid(F.col("wikidataId")), "lat": lambda: at()["lat"], "lon": lambda: at()["lon"]}
+    return _clean(spark, d, "place", "geonameId", columns.split(), make)
 
 
-def entities(spark: SparkSession, d: str) -> DataFrame:
+def entities(spark: SparkSession, d: str, columns: str = _ENTITY) -> DataFrame:
     """Wikidata places in force: usable position as lat and lon, links as bare QIDs."""
-    w = in_force(table(spark, d, "wikidataplace"), "qid", [
-        "name", "description", "latitude", "longitude", "alternateNames", "officialNames", "instanceOfLabel", "geonamesId", "population",
-        "inceptionDate", "dissolvedDate", "replacesQid", "replacedByQid", "countryQid",
-    ])
-    ok = geo.valid_position(F.col("latitude"), F.col("longitude"))
-    return w.withColumns({
-        "lat": F.when(ok, F.col("latitude")), "lon": F.when(ok, F.col("longitude")), "label": F.lower(non_empty(F.col("instanceOfLabel"))),
-        "replacesQid": ids.qid(F.col("replacesQid")), "replacedByQid": ids.qid(F.col("replacedByQid")), "countryQid": ids.qid(F.col("countryQid")),
-    })
-
-
-def persons(spark: SparkSession, d: str) -> DataFrame:
+    ok = lambda: geo.valid_position(F.col("latitude"), F.col("longitude"))
+    make = {c: lambda c=c: ids.qid(F.col(c)) for c in ("replacesQid", "replacedByQid", "countryQid")}
+    make |= {"lat": lambda: F.when(ok(), F.col("latitude")), "lon": lambda: F.when(ok(), F.col("longitude")), "label": lambda: F.lower(non_empty(F.col("instanceOfLabel")))}
+    return _clean(spark, d, "wikidataplace", "qid", columns.split(), make)
+
+
+def persons(spark: SparkSession, d: str, columns: str = _PERSON) -> DataFrame:
     """Persons in force: bare identifiers, parents, birth and death place numbers."""
-    p = in_force(table(spark, d, "historicalperson"), "personId", ["idType", "name", "alternateNames", "wikidataQid", "viafId", "birthEvent", "deathEvent", "occupations"])
-    numbers = lambda c: F.array_compact(F.transform(F.coalesce(c, F.array().cast(p.schema["deathEvent"].dataType["places"].dataType)), lambda x: x["geonamesId"]))
-    return p.select(
-        "personId", "idType", "name", "alternateNames", ids.qid(F.col("wikidataQid")).alias("wikidataQid"), ids.number_id(F.col("viafId")).alias("viafId"), "occupations",
-        F.col("birthEvent.date").alias("birthDate"), F.col("deathEvent.date").alias("deathDate"),
-        ids.person_id(F.col("birthEvent.motherId")).alias("motherId"), ids.person_id(F.col("birthEvent.fatherId")).alias("fatherId"),
-        numbers(F.col("birthEvent.places")).alias("bornIn"), numbers(F.col("deathEvent.places")).alias("diedIn"),
-    )
+    numbers = lambda c: F.array_compact(F.transform(F.col(c), lambda x: x["geonamesId"]))
+    make = {
+        "wikidataQid": lambda: ids.qid(F.col("wikidataQid")), "viafId": lambda: ids.number_id(F.col("viafId")), "birthDate": lambda: F.col("birthEvent.date"), "deathDate": lambda: F.col("deathEvent.date"),
+        "motherId": lambda: ids.person_id(F.col("birthEvent.motherId")), "fatherId": lambda: ids.person_id(F.col("birthEvent.fatherId")), "bornIn": lambda: numbers("birthEvent.places"), "diedIn": lambda: numbers("deathEvent.places"),
+    }
+    return _clean(spark, d, "historicalperson", "personId", columns.split(), make)
 
 
 _POINT = r"(?i)point\s*z?\s*\(\s*([-+]?[0-9.]+)[\s,]+([-+]?[0-9.]+)"

@@ -16,6 +16,8 @@ from geoweave.plans.base import QUERIES, entities, fold_sql, km_sql, persons, pl
 from geoweave.runtime import Scratch, fold, table
 
 _CUT = "2024-01-01"
+#: Query vectors compared with all rows at a time.
+QUERY_BLOCK = 2_000
 
 
 def _joined(c, sep: str = ";"):
@@ -30,26 +32,26 @@ def _joined(c, sep: str = ";"):
  coalesce(population, 0) population, coalesce(elevation, 0) elevation, concat_ws('.', featureClass, featureCode) full_code from {p} where lat is not null""")
 def gaz_cleanse(spark, d):
     alt = F.filter(F.transform(F.coalesce("alternateNames", F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != "")
-    return places(spark, d).where("lat is not null").select(
+    return places(spark, d, "alternateNames population elevation featureClass featureCode lat").where("lat is not null").select(
         "geonameId", _joined(alt).alias("alt_names"), F.coalesce("population", F.lit(0)).alias("population"), F.coalesce("elevation", F.lit(0)).alias("elevation"), F.concat_ws(".", "featureClass", "featureCode").alias("full_code")
     )
 
 
 @query("select countryCode country_code, count(*)::bigint n from {p} where countryCode in ('XK', 'QM', 'ZB', 'XT') and countryCode not in ('XK') group by 1")
 def gaz_country_filter(spark, d):
-    p = places(spark, d).where(F.col("countryCode").isin("XK", "QM", "ZB", "XT") & ~F.col("countryCode").isin("XK"))
+    p = places(spark, d, "countryCode").where(F.col("countryCode").isin("XK", "QM", "ZB", "XT") & ~F.col("countryCode").isin("XK"))
     return p.groupBy(F.col("countryCode").alias("country_code")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("select geonameId, featureClass feature_class, featureCode feature_code from {p} where featureClass in ('H', 'A') or featureClass || '.' || featureCode in ('P.PPL', 'P.PPLA')")
 def gaz_feature_filter(spark, d):
     full = F.concat("featureClass", F.lit("."), "featureCode")
-    return places(spark, d).where(F.col("featureClass").isin("H", "A") | full.isin("P.PPL", "P.PPLA")).select("geonameId", F.col("featureClass").alias("feature_class"), F.col("featureCode").alias("feature_code"))
+    return places(spark, d, "featureClass featureCode").where(F.col("featureClass").isin("H", "A") | full.isin("P.PPL", "P.PPLA")).select("geonameId", F.col("featureClass").alias("feature_class"), F.col("featureCode").alias("feature_code"))
 
 
 @query("""select full_code, n, round(100.0::double * n / sum(n) over (), 3) pct from (select concat_ws('.', featureClass, featureCode) full_code, count(*)::bigint n from {p} group by 1) order by n desc, full_code limit 50""")
 def gaz_feature_top50(spark, d):
-    g = places(spark, d).groupBy(F.concat_ws(".", "featureClass", "featureCode").alias("full_code")).agg(F.count(F.lit(1)).alias("n"))
+    g = places(spark, d, "featureClass featureCode").groupBy(F.concat_ws(".", "featureClass", "featureCode").alias("full_code")).agg(F.count(F.lit(1)).alias("n"))
     whole = g.agg(F.sum("n").alias("all"))
     return g.join(F.broadcast(whole)).select("full_code", "n", F.round(F.lit(100.0).cast("double") * F.col("n") / F.col("all"), 3).alias("pct")).orderBy(F.col("n").desc(), "full_code").limit(50)
 
@@ -112,7 +114,7 @@ def upsert_edge(spark, d):
 
 @query("select geonameId, \"name\" from {p} union all select geonameId, \"name\" from placeref where geonameId not in (select geonameId from p)")
 def merge_if_absent(spark, d):
-    return tables.add_if_absent(places(spark, d).select("geonameId", "name"), table(spark, d, "placeref").select("geonameId", "name"), "geonameId")
+    return tables.add_if_absent(places(spark, d, "name").select("geonameId", "name"), table(spark, d, "placeref").select("geonameId", "name"), "geonameId")
 
 
 @query("select qid, min(loadedAt)::varchar first_loaded from wikidataplace group by 1")
@@ -134,7 +136,7 @@ def claims_extract(spark, d):
  count(*) filter (len(list_filter(coalesce(alternateNames, []), lambda x: contains(x, 'grad'))) > 0)::bigint any_grad from {p} where countryCode is not null group by 1""")
 def array_predicates(spark, d):
     alt = F.coalesce("alternateNames", F.array().cast("array<string>"))
-    p = places(spark, d).where("countryCode is not null")
+    p = places(spark, d, "countryCode alternateNames asciiName").where("countryCode is not null")
     return p.groupBy(F.col("countryCode").alias("country_code")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.array_contains(alt, F.col("asciiName"))).alias("own_ascii"), F.count_if(F.exists(alt, lambda x: x.contains("grad"))).alias("any_grad")
     )
@@ -144,7 +146,7 @@ def array_predicates(spark, d):
 def label_alias_union(spark, d):
     none = F.array().cast("array<string>")
     every = F.array_except(F.array_compact(F.array_union(F.coalesce("alternateNames", none), F.coalesce("officialNames", none))), F.array(F.coalesce("name", F.lit(""))))
-    return entities(spark, d).select("qid", _joined(every).alias("others"))
+    return entities(spark, d, "name alternateNames officialNames").select("qid", _joined(every).alias("others"))
 
 
 @query("""select count(*) filter (starts_with("name", 'Old '))::bigint starts, count(*) filter (contains("name", 'grad'))::bigint holds, count(*) filter (regexp_full_match("name", '(?i).*school.*'))::bigint whole_regex,
@@ -156,7 +158,7 @@ def predicates_pack(spark, d):
         "starts": c("name").startswith("Old "), "holds": c("name").contains("grad"), "whole_regex": c("name").rlike("(?i)^.*school.*$"), "lexical_range": c("modifiedDate").between("2010-01-01", "2015-12-31"),
         "both_known": (c("population") > 0) & c("elevation").isNotNull(), "not_a": c("featureClass") != "A", "null_or_equal": c("admin2Code").isNull() | (c("admin2Code") == "017"), "in_box": c("lat").between(0, 10) & c("lon").between(0, 90),
     }
-    return places(spark, d).agg(*[F.count_if(t).alias(n) for n, t in tests.items()])
+    return places(spark, d, "name modifiedDate population elevation featureClass admin2Code lat lon").agg(*[F.count_if(t).alias(n) for n, t in tests.items()])
 
 
 # ---- hierarchy
@@ -164,7 +166,7 @@ def predicates_pack(spark, d):
 
 @query("select src, dst from {idlink}")
 def link_by_id(spark, d):
-    return linking.by_id(entities(spark, d).select(F.col("qid").alias("id"), F.col("geonamesId").alias("ref")), places(spark, d).select(F.col("geonameId").alias("id")))
+    return linking.by_id(entities(spark, d, "geonamesId").select(F.col("qid").alias("id"), F.col("geonamesId").alias("ref")), places(spark, d, "").select(F.col("geonameId").alias("id")))
 
 
 _CODES = """(select distinct c.code, c.parent, c.level, c.cc "countryCode" from (select unnest([
@@ -176,12 +178,12 @@ _CODES = """(select distinct c.code, c.parent, c.level, c.cc "countryCode" from
 
 @query("select code, parent, level, \"countryCode\" country_code from " + _CODES + " --{p}")
 def hier_part_of(spark, d):
-    return graph.code_divisions(places(spark, d)).select("code", "parent", "level", F.col("countryCode").alias("country_code"))
+    return graph.code_divisions(places(spark, d, "countryCode admin1Code admin2Code admin3Code admin4Code")).select("code", "parent", "level", F.col("countryCode").alias("country_code"))
 
 
 @query("select countryCode country_code, admin1Code admin1_code, count(*)::bigint n, count(distinct admin2Code)::bigint n_admin2 from {p} where countryCode is not null and admin1Code is not null group by 1, 2")
 def hier_place_adm1(spark, d):
-    p = places(spark, d)
+    p = places(spark, d, "countryCode admin1Code admin2Code admin3Code admin4Code")
     div = graph.code_divisions(p).where("level = 1")
     j = p.where("countryCode is not null and admin1Code is not null").withColumn("code", F.concat_ws(".", "countryCode", "admin1Code")).join(div.select("code"), "code")
     return j.groupBy(F.col("countryCode").alias("country_code"), F.col("admin1Code").alias("admin1_code")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("admin2Code").alias("n_admin2"))
@@ -190,12 +192,12 @@ def hier_place_adm1(spark, d):
 @query("""select distinct a.geonameId src, b.geonameId dst from {p} a join p b on a.countryCode = b.countryCode and a.admin1Code = b.admin1Code and a.admin2Code = b.admin2Code and a.admin3Code = b.admin3Code
  where b.featureCode = 'ADM3' and a.featureClass <> 'A'""")
 def hier_composite_keys(spark, d):
-    return graph.located_in(places(spark, d), 3)
+    return graph.located_in(places(spark, d, "featureClass featureCode countryCode admin1Code admin2Code admin3Code admin4Code"), 3)
 
 
 @query("""select geonameId, countryCode country, (case when admin1Code is null then 0 when admin2Code is null then 1 when admin3Code is null then 2 when admin4Code is null then 3 else 4 end) + 1 hops from {p} where countryCode is not null""")
 def hier_paths(spark, d):
-    p = places(spark, d).where("countryCode is not null")
+    p = places(spark, d, "countryCode admin1Code admin2Code admin3Code admin4Code").where("countryCode is not null")
     full, deepest = F.col("countryCode").isNotNull(), F.col("countryCode")
     code = F.col("countryCode")
     for c in graph.ADMIN:
@@ -208,7 +210,7 @@ def hier_paths(spark, d):
 
 
 def _succession(spark, d):
-    w = entities(spark, d)
+    w = entities(spark, d, "replacesQid replacedByQid")
     return w.select(F.col("replacedByQid").alias("dst"), F.col("qid").alias("src")).unionByName(w.select(F.col("qid").alias("dst"), F.col("replacesQid").alias("src"))).where("src is not null and dst is not null").distinct()
 
 
@@ -228,18 +230,18 @@ def hier_closure(spark, d):
 @query("with " + _SUCC + """ select qid "start", qid node, 0 hops from w union all select w.qid, s.dst, 1 from w join s on s.src = w.qid where s.dst <> w.qid
  union all select w.qid, t.dst, 2 from w join s on s.src = w.qid join s t on t.src = s.dst where s.dst <> w.qid and t.dst <> w.qid and t.dst <> s.dst --{w}""")
 def hier_zero_to_two(spark, d):
-    return graph.walk(_succession(spark, d), entities(spark, d).select(F.col("qid").alias("node")), 2, 0).select("start", "node", "hops")
+    return graph.walk(_succession(spark, d), entities(spark, d, "").select(F.col("qid").alias("node")), 2, 0).select("start", "node", "hops")
 
 
 # ---- spatial joins and links
 
 
 def _src(spark, d):
-    return entities(spark, d).select(F.col("qid").alias("id"), "name", "label", "lat", "lon")
+    return entities(spark, d, "name label lat lon").select(F.col("qid").alias("id"), "name", "label", "lat", "lon")
 
 
 def _dst(spark, d):
-    return places(spark, d).select(F.col("geonameId").alias("id"), "name", F.col("featureCode").alias("code"), F.col("featureClass").alias("class"), "population", "lat", "lon")
+    return places(spark, d, "name featureCode featureClass population lat lon").select(F.col("geonameId").alias("id"), "name", F.col("featureCode").alias("code"), F.col("featureClass").alias("class"), "population", "lat", "lon")
 
 
 def _near(km: float) -> str:
@@ -268,7 +270,7 @@ def nn_1(spark, d):
 
 @query(f"with a as (select lat, lon from {{p}} where lat is not null order by population desc nulls last, geonameId limit 1) select geonameId, {km_sql('a', 'p')} km from p, a where {km_sql('a', 'p')} <= 50")
 def anchor_radius(spark, d):
-    p = places(spark, d)
+    p = places(spark, d, "population lat lon")
     anchor = p.where("lat is not null").orderBy(F.col("population").desc_nulls_last(), "geonameId").limit(1).select(F.lit(0).alias("id"), "lat", "lon")
     return cells.radius_join(anchor, p.select(F.col("geonameId").alias("id"), "lat", "lon"), 50.0).select(F.col("dst_id").alias("geonameId"), "km")
 
@@ -346,8 +348,8 @@ _OFFICE = "trim(regexp_replace(lower(trim(w.\"name\")), '\\s+(post office|p\\.?o
  select office, place from (select *, count(*) over (partition by office) n from j) where n = 1""")
 def name_province_unique(spark, d):
     c = table(spark, d, "country").select(F.upper(F.trim("qid")).alias("countryQid"), F.col("code").alias("province"))
-    offices = entities(spark, d).where("label = 'post office'").join(c, "countryQid").select(F.col("qid").alias("id"), "name", "province")
-    return linking.by_name_and_province(offices, places(spark, d).select(F.col("geonameId").alias("id"), "name", F.col("countryCode").alias("admin1")))
+    offices = entities(spark, d, "name label countryQid").where("label = 'post office'").join(c, "countryQid").select(F.col("qid").alias("id"), "name", "province")
+    return linking.by_name_and_province(offices, places(spark, d, "name countryCode").select(F.col("geonameId").alias("id"), "name", F.col("countryCode").alias("admin1")))
 
 
 # ---- reconciliation
@@ -355,13 +357,13 @@ def name_province_unique(spark, d):
 
 def _requests(spark, d):
     c = table(spark, d, "country").select(F.upper(F.trim("qid")).alias("countryQid"), F.col("code").alias("country"))
-    return entities(spark, d).join(c, "countryQid", "left").select(
+    return entities(spark, d, "name label countryQid lat lon").join(c, "countryQid", "left").select(
         F.substr("qid", F.lit(2)).cast("bigint").alias("mention_id"), "name", "country", F.lit("07").alias("admin1"), "lat", "lon", F.lit(50.0).alias("radius_km"), (F.col("label") == "ghost town").alias("historical")
     )
 
 
 def _gazetteer(spark, d):
-    return places(spark, d).withColumn("dissolvedDate", F.lit(None).cast("string"))
+    return places(spark, d, "name alternateNames wikidataAlternateNames countryCode admin1Code featureCode population wikidataId lat lon").withColumn("dissolvedDate", F.lit(None).cast("string"))
 
 
 _REQ = """req as (select substr(w.qid, 2)::bigint mention_id, w."name" wanted, c.code country, '07' admin1, w.lat, w.lon, w.label = 'ghost town' hist from {w} left join country c on upper(trim(c.qid)) = w.countryQid),
@@ -405,7 +407,7 @@ _ASCII = "regexp_replace(" + fold_sql("{x}") + ", '[^ -~]', '?', 'g')"
  select a, b, levenshtein(a, b)::int distance from a join b on abs(length(a) - length(b)) <= 2 where levenshtein(a, b) <= 2""")
 def recon_fuzzy_names(spark, d):
     plain = lambda df, to: df.select(F.regexp_replace(fold(F.col("name")), "[^ -~]", "?").alias(to))
-    return within_edits(plain(entities(spark, d), "a"), plain(places(spark, d), "b"), 2)
+    return within_edits(plain(entities(spark, d, "name"), "a"), plain(places(spark, d, "name"), "b"), 2)
 
 
 @query()
@@ -428,33 +430,33 @@ def _edge(df: DataFrame, c: str) -> DataFrame:
 
 @query("select distinct personId person_id, p.geonameId place, 'BORN_IN' kind from {born} join {p} on p.geonameId = place union all select distinct personId, p.geonameId, 'DIED_IN' from {died} join p on p.geonameId = place")
 def explode_join(spark, d):
-    h, p = persons(spark, d), places(spark, d).select(F.col("geonameId").alias("place"))
+    h, p = persons(spark, d, "bornIn diedIn"), places(spark, d, "").select(F.col("geonameId").alias("place"))
     one = lambda c, kind: _edge(h, c).join(p, "place", "left_semi").distinct().select(F.col("personId").alias("person_id"), "place", F.lit(kind).alias("kind"))
     return one("bornIn", "BORN_IN").unionByName(one("diedIn", "DIED_IN"))
 
 
 @query("select role, count(*)::bigint n from (select unnest(occupations) role from {h}) group by 1")
 def role_frequency(spark, d):
-    return persons(spark, d).select(F.explode("occupations").alias("role")).groupBy("role").agg(F.count(F.lit(1)).alias("n"))
+    return persons(spark, d, "occupations").select(F.explode("occupations").alias("role")).groupBy("role").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""select coalesce(wikidataQid, personId) agent, count(*)::bigint records, count(distinct o)::bigint roles, min(birthDate) first_date, coalesce(string_agg(distinct o, ';' order by o), '') role_list
  from (select wikidataQid, personId, birthDate, unnest(case when len(occupations) > 0 then occupations else [null] end) o from {h}) group by 1""")
 def agent_rollup(spark, d):
-    h = persons(spark, d).select(F.coalesce("wikidataQid", "personId").alias("agent"), "birthDate", F.explode_outer("occupations").alias("o"))
+    h = persons(spark, d, "wikidataQid birthDate occupations").select(F.coalesce("wikidataQid", "personId").alias("agent"), "birthDate", F.explode_outer("occupations").alias("o"))
     return h.groupBy("agent").agg(F.count(F.lit(1)).alias("records"), F.countDistinct("o").alias("roles"), F.min("birthDate").alias("first_date"), _joined(F.collect_set("o")).alias("role_list"))
 
 
 @query("select l.src qid, l.dst place, c.code stated, p.countryCode found from {idlink} l join {w} on w.qid = l.src join {p} on p.geonameId = l.dst join country c on upper(trim(c.qid)) = w.countryQid where p.countryCode <> c.code")
 def admin_vs_geo_parent(spark, d):
     c = table(spark, d, "country").select(F.upper(F.trim("qid")).alias("countryQid"), F.col("code").alias("stated"))
-    j = link_by_id(spark, d).join(entities(spark, d).select(F.col("qid").alias("src"), "countryQid"), "src").join(places(spark, d).select(F.col("geonameId").alias("dst"), F.col("countryCode").alias("found")), "dst")
+    j = link_by_id(spark, d).join(entities(spark, d, "countryQid").select(F.col("qid").alias("src"), "countryQid"), "src").join(places(spark, d, "countryCode").select(F.col("geonameId").alias("dst"), F.col("countryCode").alias("found")), "dst")
     return j.join(c, "countryQid").where(F.col("found") != F.col("stated")).select(F.col("src").alias("qid"), F.col("dst").alias("place"), "stated", "found")
 
 
 @query("select place, n::bigint persons, (n * (n - 1) // 2)::bigint pairs, lowest from (select place, count(distinct personId) n, min(personId) lowest from {born} group by 1) where n > 1")
 def shared_place_groups(spark, d):
-    g = _edge(persons(spark, d), "bornIn").groupBy("place").agg(F.countDistinct("personId").alias("persons"), F.min("personId").alias("lowest")).where("persons > 1")
+    g = _edge(persons(spark, d, "bornIn"), "bornIn").groupBy("place").agg(F.countDistinct("personId").alias("persons"), F.min("personId").alias("lowest")).where("persons > 1")
     return g.select("place", "persons", F.expr("persons * (persons - 1) div 2").alias("pairs"), "lowest")
 
 
@@ -464,7 +466,7 @@ def _parents(h: DataFrame) -> DataFrame:
 
 @query("select x person_id, count(distinct y)::bigint relatives from (select child x, parent y from {parent} union all select parent, child from parent) group by 1")
 def family_links(spark, d):
-    e = graph.undirected(_parents(persons(spark, d)).select(F.col("child").alias("src"), F.col("parent").alias("dst")))
+    e = graph.undirected(_parents(persons(spark, d, "motherId fatherId")).select(F.col("child").alias("src"), F.col("parent").alias("dst")))
     return e.groupBy(F.col("src").alias("person_id")).agg(F.count(F.lit(1)).alias("relatives"))
 
 
@@ -475,30 +477,30 @@ def unordered_pair_set(spark, d):
 
 @query("select parent, count(distinct child)::bigint children from {parent} group by 1 having count(distinct child) > 1")
 def parent_children_gt1(spark, d):
-    return _parents(persons(spark, d)).groupBy("parent").agg(F.countDistinct("child").alias("children")).where("children > 1")
+    return _parents(persons(spark, d, "motherId fatherId")).groupBy("parent").agg(F.countDistinct("child").alias("children")).where("children > 1")
 
 
 @query("select c.code country, count(distinct b.personId)::bigint born from country c left join (select personId, countryCode from {born} join {p} on p.geonameId = place) b on b.countryCode = c.code group by 1")
 def born_left(spark, d):
-    b = _edge(persons(spark, d), "bornIn").join(places(spark, d).select(F.col("geonameId").alias("place"), F.col("countryCode").alias("country")), "place")
+    b = _edge(persons(spark, d, "bornIn"), "bornIn").join(places(spark, d, "countryCode").select(F.col("geonameId").alias("place"), F.col("countryCode").alias("country")), "place")
     return table(spark, d, "country").select(F.col("code").alias("country")).join(b, "country", "left").groupBy("country").agg(F.countDistinct("personId").alias("born"))
 
 
 @query("select idType id_type, count(*)::bigint n from {h} where exists (select 1 from {born} b join {p} on p.geonameId = b.place where b.personId = h.personId) group by 1")
 def semi_exists(spark, d):
-    h = persons(spark, d)
-    known = _edge(h, "bornIn").join(places(spark, d).select(F.col("geonameId").alias("place")), "place", "left_semi")
+    h = persons(spark, d, "idType bornIn")
+    known = _edge(h, "bornIn").join(places(spark, d, "").select(F.col("geonameId").alias("place")), "place", "left_semi")
     return h.join(known, "personId", "left_semi").groupBy(F.col("idType").alias("id_type")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("select countryQid country_qid, count(*)::bigint unlinked from {w} where qid not in (select src from {idlink}) group by 1")
 def unlinked_by_country(spark, d):
-    w = entities(spark, d)
+    w = entities(spark, d, "countryQid")
     return w.join(link_by_id(spark, d).select(F.col("src").alias("qid")), "qid", "left_anti").groupBy(F.col("countryQid").alias("country_qid")).agg(F.count(F.lit(1)).alias("unlinked"))
 
 
 def _flows(spark, d):
-    h, p = persons(spark, d), places(spark, d).where("countryCode is not null")
+    h, p = persons(spark, d, "bornIn diedIn"), places(spark, d, "countryCode").where("countryCode is not null")
     b = _edge(h, "bornIn").join(p.select(F.col("geonameId").alias("place"), F.col("countryCode").alias("birth")), "place").drop("place")
     e = _edge(h, "diedIn").join(p.select(F.col("geonameId").alias("place"), F.col("countryCode").alias("death")), "place").drop("place")
     return b.join(e, "personId").groupBy("birth", "death").agg(F.count(F.lit(1)).alias("n"))
@@ -536,7 +538,7 @@ def weak_countries(spark, d):
 @query("""select coalesce(b.place, x.place) place, coalesce(b.n, 0)::bigint born_here, coalesce(x.n, 0)::bigint died_here from (select place, count(distinct personId) n from {born} group by 1) b
  full join (select place, count(distinct personId) n from {died} group by 1) x on b.place = x.place where coalesce(b.n, 0) + coalesce(x.n, 0) > 1""")
 def hub_places(spark, d):
-    h = persons(spark, d)
+    h = persons(spark, d, "bornIn diedIn")
     n = lambda c, to: _edge(h, c).groupBy("place").agg(F.countDistinct("personId").alias(to))
     return n("bornIn", "born_here").join(n("diedIn", "died_here"), "place", "full").fillna(0, ["born_here", "died_here"]).where("born_here + died_here > 1")
 
@@ -544,7 +546,7 @@ def hub_places(spark, d):
 @query("select h.personId person_id, l.dst place, l.src qid from {born} b join {h} on h.personId = b.personId join {idlink} l on l.dst = b.place")
 def person_place_chain(spark, d):
     l = link_by_id(spark, d).select(F.col("dst").alias("place"), F.col("src").alias("qid"))
-    return _edge(persons(spark, d), "bornIn").join(l, "place").select(F.col("personId").alias("person_id"), "place", "qid")
+    return _edge(persons(spark, d, "bornIn"), "bornIn").join(l, "place").select(F.col("personId").alias("person_id"), "place", "qid")
 
 
 # ---- statistics
@@ -553,50 +555,50 @@ def person_place_chain(spark, d):
 @query("""select label, n from (select 'Place' as label, count(*)::bigint n from {p} union all select 'WikidataPlace', count(*) from {w} union all select 'HistoricalPerson', count(*) from {h}
  union all select 'BORN_IN', count(*) from {born} union all select 'DIED_IN', count(*) from {died} union all select 'PARENT_OF', count(*) from {parent} union all select 'SAME_AS', count(*) from {idlink})""")
 def label_histogram(spark, d):
-    h = persons(spark, d)
-    parts = {"Place": places(spark, d).select("geonameId"), "WikidataPlace": entities(spark, d).select("qid"), "HistoricalPerson": h.select("personId"), "BORN_IN": _edge(h, "bornIn"), "DIED_IN": _edge(h, "diedIn"), "PARENT_OF": _parents(h), "SAME_AS": link_by_id(spark, d)}
+    h = persons(spark, d, "bornIn diedIn motherId fatherId")
+    parts = {"Place": places(spark, d, "").select("geonameId"), "WikidataPlace": entities(spark, d, "").select("qid"), "HistoricalPerson": h.select("personId"), "BORN_IN": _edge(h, "bornIn"), "DIED_IN": _edge(h, "diedIn"), "PARENT_OF": _parents(h), "SAME_AS": link_by_id(spark, d)}
     return reduce(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("label"), "n") for k, df in parts.items()])
 
 
 @query("""select countryCode country_code, count(*)::bigint n, count(wikidataId)::bigint with_qid, round(count(wikidataId)::double / count(*), 4) qid_share, round(count(lat)::double / count(*), 4) position_share, round(count(admin1Code)::double / count(*), 4) admin1_share from {p} group by 1""")
 def coverage_stats(spark, d):
     n = F.count(F.lit(1))
-    return places(spark, d).groupBy(F.col("countryCode").alias("country_code")).agg(
+    return places(spark, d, "countryCode wikidataId admin1Code lat").groupBy(F.col("countryCode").alias("country_code")).agg(
         n.alias("n"), F.count("wikidataId").alias("with_qid"), graph.share(F.count("wikidataId"), n).alias("qid_share"), graph.share(F.count("lat"), n).alias("position_share"), graph.share(F.count("admin1Code"), n).alias("admin1_share")
     )
 
 
 @query("select featureClass feature_class, min(population) least, max(population) most, round(avg(population), 4) mean, sum(population)::bigint total, count(distinct countryCode)::bigint countries from {p} where population > 0 group by 1 having count(*) > 1")
 def pop_stats(spark, d):
-    g = places(spark, d).where("population > 0").groupBy(F.col("featureClass").alias("feature_class"))
+    g = places(spark, d, "featureClass population countryCode").where("population > 0").groupBy(F.col("featureClass").alias("feature_class"))
     out = g.agg(F.min("population").alias("least"), F.max("population").alias("most"), F.round(F.avg("population"), 4).alias("mean"), F.sum("population").alias("total"), F.countDistinct("countryCode").alias("countries"), F.count(F.lit(1)).alias("c"))
     return out.where("c > 1").drop("c")
 
 
 @query("select lower(\"name\") key, countryCode country_code, count(*)::bigint n, string_agg(geonameId::varchar, ';' order by geonameId::varchar) ids from {p} group by 1, 2 having count(*) > 1")
 def duplicate_keys(spark, d):
-    g = places(spark, d).groupBy(F.lower("name").alias("key"), F.col("countryCode").alias("country_code"))
+    g = places(spark, d, "name countryCode").groupBy(F.lower("name").alias("key"), F.col("countryCode").alias("country_code"))
     return g.agg(F.count(F.lit(1)).alias("n"), _joined(F.collect_list(F.col("geonameId").cast("string"))).alias("ids")).where("n > 1")
 
 
 @query("select countryCode country_code, string_agg(distinct timezone, '|' order by timezone) zones from {p} where timezone is not null group by 1")
 def group_concat(spark, d):
-    return places(spark, d).where("timezone is not null").groupBy(F.col("countryCode").alias("country_code")).agg(_joined(F.collect_set("timezone"), "|").alias("zones"))
+    return places(spark, d, "countryCode timezone").where("timezone is not null").groupBy(F.col("countryCode").alias("country_code")).agg(_joined(F.collect_set("timezone"), "|").alias("zones"))
 
 
 @query("select code from country where code not in (select countryCode from {p} where countryCode is not null) union all select code || '+' from country where code in (select countryCode from p) and upper(trim(qid)) in (select countryQid from {w})")
 def set_operations(spark, d):
     c = table(spark, d, "country").select("code", F.upper(F.trim("qid")).alias("q"))
-    codes = places(spark, d).select(F.col("countryCode").alias("code")).where("code is not null").distinct()
+    codes = places(spark, d, "countryCode").select(F.col("countryCode").alias("code")).where("code is not null").distinct()
     absent = c.select("code").subtract(codes)
-    both = c.select("code").intersect(codes).join(c.join(entities(spark, d).select(F.col("countryQid").alias("q")), "q", "left_semi"), "code", "left_semi")
+    both = c.select("code").intersect(codes).join(c.join(entities(spark, d, "countryQid").select(F.col("countryQid").alias("q")), "q", "left_semi"), "code", "left_semi")
     return absent.unionByName(both.select(F.concat("code", F.lit("+")).alias("code")))
 
 
 @query("""select * from (select 'last' rule, geonameId, population, row_number() over (order by population desc nulls last, geonameId)::int r from {p} union all
  select 'first', geonameId, population, row_number() over (order by population desc nulls first, geonameId)::int from p) where r <= 10""")
 def null_orders(spark, d):
-    p = places(spark, d).select("geonameId", "population")
+    p = places(spark, d, "population").select("geonameId", "population")
 
     def top(rule: str, order) -> DataFrame:
         ten = p.orderBy(order, "geonameId").limit(10)
@@ -609,7 +611,7 @@ def null_orders(spark, d):
  (select unnest([1700, 1750, 1800, 1850, 1900, 1912, 1950]) y) where a <= y and (z is null or z >= y) group by 1""")
 def active_in_year(spark, d):
     year = lambda c: F.regexp_extract(F.coalesce(c, F.lit("")), r"^(-?[0-9]+)", 1).try_cast("int")
-    w = entities(spark, d).select(year("inceptionDate").alias("a"), year("dissolvedDate").alias("z"), F.explode(F.array(*[F.lit(y) for y in (1700, 1750, 1800, 1850, 1900, 1912, 1950)])).alias("year"))
+    w = entities(spark, d, "inceptionDate dissolvedDate").select(year("inceptionDate").alias("a"), year("dissolvedDate").alias("z"), F.explode(F.array(*[F.lit(y) for y in (1700, 1750, 1800, 1850, 1900, 1912, 1950)])).alias("year"))
     return w.where("a <= year and (z is null or z >= year)").groupBy("year").agg(F.count(F.lit(1)).alias("active"))
 
 
@@ -627,7 +629,13 @@ def cosine_topk(spark, d):
     norm = F.sqrt(F.aggregate("e", F.lit(0.0), lambda a, x: a + x * x))
     v = v.withColumn("e", F.transform("e", lambda x: F.try_divide(x, norm)))
     q = v.where(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("query_id"), F.col("e").alias("qe"))
-    s = v.join(q, F.col("vec_id") != F.col("query_id"))
-    s = s.select("query_id", "vec_id", F.round(F.aggregate(F.zip_with("e", "qe", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x), 6).alias("similarity"))
-    w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), "vec_id")
-    return s.withColumn("r", F.row_number().over(w)).where("r <= 10").drop("r")
+    # Every block of queries meets all rows; a block is small whatever the table's size.
+    blocks = max(1, -(-q.count() // QUERY_BLOCK))
+    best = []
+    for b in range(blocks):
+        part = q if blocks == 1 else q.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b)
+        s = v.join(F.broadcast(part), F.col("vec_id") != F.col("query_id"))
+        s = s.select("query_id", "vec_id", F.round(F.aggregate(F.zip_with("e", "qe", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x), 6).alias("similarity"))
+        w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), "vec_id")
+        best.append(s.withColumn("r", F.row_number().over(w)).where("r <= 10").drop("r"))
+    return reduce(DataFrame.unionByName, best)

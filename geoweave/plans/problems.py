@@ -116,4 +116,10 @@ ORACLES: dict[str, str] = {
  union all select 'zone', zoneId, geonameId from (select zoneId, geonameId, count(*) filter ((e.a[2] > p.lat) <> (e.b[2] > p.lat) and p.lon < (e.b[1] - e.a[1]) * (p.lat - e.a[2]) / nullif(e.b[2] - e.a[2], 0) + e.a[1]) hits
  from e, p where p.lat is not null group by 1, 2) where hits % 2 = 1"""),
     "p4_found": base.with_views("with recursive " + _UP + """ select line, node node_id, case when max(depth) = 400 then '' else max_by(top, depth) end root_id, case when max(depth) = 400 then -1 else max(depth) end::int depth from r group by 1, 2"""),
+    "p4_hierarchy": base.with_views("with recursive " + _UP.replace("parent top, 1 depth from k", "parent top, 1 depth, parent || ' > ' || node path from k").replace("k.parent, depth + 1 from", "k.parent, depth + 1, k.parent || ' > ' || r.path from") + """,
+ fin as (select line, node, max(depth) dm, max_by(top, depth) root, max_by(path, depth) path from r group by 1, 2), own as (select distinct line, node from r where top = node),
+ below as (select r.line, r.top node, count(*)::bigint n from r join fin using (line, node) where dm < 400 group by 1, 2)
+ select fin.line, fin.node node_id, case when dm = 400 then '' else root end root_id, case when dm = 400 then -1 else dm end::int depth, case when dm < 400 then path end path,
+ case when dm < 400 then coalesce(n, 0) end descendants, own.node is not null in_cycle from fin left join below using (line, node) left join own using (line, node)
+ union all select line, node, node, 0, node, n, false from below where (line, node) not in (select (line, node) from k)"""),
 }
