@@ -1,9 +1,9 @@
 """Matching places across two sources that share no dependable identifier.
 
 1. Every name and alias of either source becomes a fixed bit vector of its word
-   q-grams (130 bits in 13 chunks of 10).
-2. Multi-index Hamming hashing: vectors at most 12 bits apart agree in at least
-   one of the 13 chunks, so an equi-join on (spot cell, chunk number, chunk
+   q-grams (120 bits in 12 chunks of 10).
+2. Multi-index Hamming hashing: vectors at most 11 bits apart agree in at least
+   one of the 12 chunks, so an equi-join on (spot cell, chunk number, chunk
    value) finds every close pair exactly; a pair is kept only at its first
    common chunk.  The spot cell is a second index: each vector of the larger
    source has one cell, each of the other the four cells its circle can meet.
@@ -25,7 +25,7 @@ from geoweave.functions.ids import let
 from geoweave.runtime import Scratch, fold
 
 #: Chunks of a vector, bits of a chunk, bits two vectors may differ in (one less than the chunks).
-CHUNKS, BITS, APART = 13, 10, 12
+CHUNKS, BITS, APART = 12, 10, 11
 #: Two records of one thing lie at most this far apart; less where the spelling differs.
 SPOT_KM, NEAR_KM, CLOSE_KM = 3.5, 2.5, 1.5
 #: Largest share of letters in which two spellings of one name differ.
@@ -63,26 +63,27 @@ def tokens(name: Column) -> Column:
     return F.transform(F.filter(t, lambda x: ~x.isin("", "de", "office")), lambda x: F.coalesce(F.try_element_at(_map(_SHORT), x), x))
 
 
-def vector(toks: Column) -> list[Column]:
-    """Three longs holding 13 chunks of 10 bits: hashed q-grams (q = 2) of the padded words."""
+def gram_bits(toks: Column) -> Column:
+    """Bit numbers of the hashed q-grams (q = 2) of the padded words, distinct."""
     grams = F.flatten(F.transform(toks, lambda t: let(F.concat(F.lit("^"), t, F.lit("$")), lambda y: F.transform(F.sequence(F.lit(1), F.length(y) - 1), lambda i: F.substr(y, i, F.lit(2))))))
-    at = F.array_distinct(F.transform(grams, lambda g: F.pmod(F.xxhash64(g), F.lit(CHUNKS * BITS))))
+    return F.array_distinct(F.transform(grams, lambda g: F.pmod(F.xxhash64(g), F.lit(CHUNKS * BITS))))
 
-    def packed(k: int) -> Column:
-        here = F.filter(at, lambda x: (x >= 50 * k) & (x < 50 * k + 50))
-        return F.aggregate(here, F.lit(0).cast("long"), lambda a, x: a + F.call_function("shiftleft", F.lit(1).cast("long"), (x - 50 * k).cast("int")))
 
-    return [packed(k) for k in range(3)]
+def packed(bits: Column, k: int) -> Column:
+    """The vector's half k: six chunks of 10 bits in a long."""
+    half = CHUNKS // 2 * BITS
+    here = F.filter(bits, lambda x: (x >= half * k) & (x < half * k + half))
+    return F.aggregate(here, F.lit(0).cast("long"), lambda a, x: a + F.call_function("shiftleft", F.lit(1).cast("long"), (x - half * k).cast("int")))
 
 
 def name_rows(records: DataFrame, names: Column) -> DataFrame:
     """One row per record and distinct spelling: id, toks-derived columns, vector."""
     r = records.select("id", F.explode(F.array_distinct(F.transform(F.array_compact(names), tokens))).alias("toks")).where(F.size("toks") > 0)
-    v = vector(F.col("toks"))
+    r = r.withColumn("bits", gram_bits(F.col("toks")))
     return r.select(
         "id", F.array_join("toks", "").alias("flat"), F.array_join(F.array_sort("toks"), "").alias("sorted"),
         F.array_join(F.array_sort(F.array_intersect("toks", F.array(*[F.lit(w) for w in _WORDS]))), " ").alias("kindwords"),
-        v[0].alias("v0"), v[1].alias("v1"), v[2].alias("v2"),
+        packed(F.col("bits"), 0).alias("v0"), packed(F.col("bits"), 1).alias("v1"),
     ).withColumn("nid", F.monotonically_increasing_id())
 
 
@@ -122,42 +123,47 @@ def met_cells(lat: Column, lon: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(bands, columns)))
 
 
-def _chunk(v: tuple[Column, Column, Column], c: int) -> Column:
-    return F.shiftright(v[c // 5], BITS * (c % 5)).bitwiseAND(F.lit((1 << BITS) - 1))
+def _chunk(v: list[Column], c: int) -> Column:
+    return F.shiftright(v[c // (CHUNKS // 2)], BITS * (c % (CHUNKS // 2))).bitwiseAND(F.lit((1 << BITS) - 1))
 
 
-def _buckets(df: DataFrame, cell: str) -> DataFrame:
-    """13 rows per vector and cell: bucket key and chunk number."""
-    v = (F.col("v0"), F.col("v1"), F.col("v2"))
-    chunks = F.array(*[_chunk(v, c).cast("int") for c in range(CHUNKS)])
-    return df.select("*", F.posexplode(chunks).alias("chunk", "value")).withColumn("bucket", F.xxhash64(cell, "chunk", "value")).drop("value", cell)
+def _buckets(df: DataFrame, p: str) -> DataFrame:
+    """One narrow row per vector, cell and chunk: bucket key, chunk number, row number, vector."""
+    v = [F.col("v0"), F.col("v1")]
+    df = df.select("row", "v0", "v1", "cell", F.posexplode(F.array(*[_chunk(v, c).cast("int") for c in range(CHUNKS)])).alias("chunk", "value"))
+    return df.select(F.xxhash64("cell", "chunk", "value").alias("bucket"), F.col("chunk").cast("byte").alias(f"{p}chunk"), *[F.col(c).alias(f"{p}{c}") for c in ("row", "v0", "v1")])
 
 
 def close_pairs(left: DataFrame, right: DataFrame, scratch: Scratch) -> DataFrame:
     """(lnid, rnid, km, dice): name vectors at most APART bits and spots at most SPOT_KM apart.
 
-    Both sides have nid, v0..v2, lat, lon; the right may repeat a nid with
-    several positions.  Exact: no pair within both limits is missed.
+    Both sides have nid, v0, v1, lat, lon; the right may repeat a nid with
+    several positions.  Exact: no pair within both limits is missed.  Bucket
+    rows carry only the vector and a row number; spots are looked up for the
+    pairs whose vectors are close.
     """
-    cols = ["nid", "v0", "v1", "v2", "lat", "lon"]
-    l = scratch.save(left.select(*cols, own_cell(F.col("lat"), F.col("lon")).alias("cell")), "left")
-    r = scratch.save(right.select(*cols, F.explode(met_cells(F.col("lat"), F.col("lon"))).alias("cell")), "right")
+    cols = ["nid", "v0", "v1", "lat", "lon"]
+    l = scratch.save(left.select(*cols).withColumn("row", F.monotonically_increasing_id()), "left")
+    r = scratch.save(right.select(*cols).withColumn("row", F.monotonically_increasing_id()), "right")
+    lc = l.select("row", "v0", "v1", own_cell(F.col("lat"), F.col("lon")).alias("cell"))
+    rc = scratch.save(r.select("row", "v0", "v1", F.explode(met_cells(F.col("lat"), F.col("lon"))).alias("cell")), "cells")
     # Vectors in cells that the other source does not reach have no partner.
-    l2 = l.join(r.select("cell").distinct(), "cell", "left_semi")
-    r2 = r.join(l.select("cell").distinct(), "cell", "left_semi")
-    a = _buckets(l2, "cell").select("bucket", "chunk", *[F.col(c).alias(f"l{c}") for c in cols])
-    b = _buckets(r2, "cell").select("bucket", F.col("chunk").alias("rchunk"), *[F.col(c).alias(f"r{c}") for c in cols])
-    m = a.join(b, "bucket").where(F.col("chunk") == F.col("rchunk"))
-    x = [F.col(f"lv{k}").bitwiseXOR(F.col(f"rv{k}")) for k in range(3)]
-    apart = sum((F.bit_count(y) for y in x[1:]), F.bit_count(x[0]))
+    a = _buckets(lc.join(rc.select("cell").distinct(), "cell", "left_semi"), "l")
+    b = _buckets(rc.join(lc.select("cell").distinct(), "cell", "left_semi"), "r")
+    m = a.join(b, "bucket").where(F.col("lchunk") == F.col("rchunk"))
+    x = [F.col(f"lv{k}").bitwiseXOR(F.col(f"rv{k}")) for k in range(2)]
     first = F.lit(None).cast("int")
     for c in reversed(range(CHUNKS)):
-        first = F.when(_chunk(tuple(x), c) == 0, F.lit(c)).otherwise(first)
+        first = F.when(_chunk(x, c) == 0, F.lit(c)).otherwise(first)
+    m = m.where((F.bit_count(x[0]) + F.bit_count(x[1]) <= APART) & (F.col("lchunk") == first)).select("lrow", "rrow")
+    side = lambda df, p: df.select(*[F.col(c).alias(f"{p}{c}") for c in ("row", *cols)])
+    m = m.join(side(l, "l"), "lrow").join(side(r, "r"), "rrow")
+    ones = lambda f: f(0) + f(1)
+    both = ones(lambda k: F.bit_count(F.col(f"lv{k}").bitwiseAND(F.col(f"rv{k}"))))
+    size = ones(lambda k: F.bit_count(F.col(f"lv{k}")) + F.bit_count(F.col(f"rv{k}")))
     km = geo.haversine_km(F.col("llat"), F.col("llon"), F.col("rlat"), F.col("rlon"))
-    m = m.where((apart <= APART) & (F.col("chunk") == first))
-    both = sum((F.bit_count(F.col(f"lv{k}").bitwiseAND(F.col(f"rv{k}"))) for k in (1, 2)), F.bit_count(F.col("lv0").bitwiseAND(F.col("rv0"))))
-    size = sum((F.bit_count(F.col(f"{s}v{k}")) for s in "lr" for k in range(3)), F.lit(0))
-    return m.select("lnid", "rnid", km.alias("km"), (2 * both / size).alias("dice")).where(F.col("km") <= SPOT_KM).groupBy("lnid", "rnid").agg(F.min("km").alias("km"), F.max("dice").alias("dice"))
+    m = m.select("lnid", "rnid", km.alias("km"), F.coalesce(F.try_divide(2.0 * both, size), F.lit(0.0)).alias("dice"))
+    return m.where(F.col("km") <= SPOT_KM).groupBy("lnid", "rnid").agg(F.min("km").alias("km"), F.max("dice").alias("dice"))
 
 
 def _sorts(left_words: Column, right_words: Column) -> Column:
