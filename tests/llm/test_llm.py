@@ -234,3 +234,67 @@ def test_close_pairs_are_exact(spark, scratch):
     apart = F.bit_count(F.col("lv0").bitwiseXOR(F.col("rv0"))) + F.bit_count(F.col("lv1").bitwiseXOR(F.col("rv1")))
     want = cross.where((apart <= entity_match.APART) & (geo.haversine_km(F.col("llat"), F.col("llon"), F.col("rlat"), F.col("rlon")) <= entity_match.SPOT_KM)).select("lnid", "rnid")
     assert rows(entity_match.close_pairs(l, o, scratch).select("lnid", "rnid")) == rows(want) and want.count() > 50
+
+
+def test_components_with_hot_keys_split_off(spark, scratch, monkeypatch):
+    import geoweave.llm.components as c
+
+    monkeypatch.setattr(c, "PLAIN", 0)
+    edges = [(0, i) for i in range(1, 200)] + [(1000 + i, 1001 + i) for i in range(9)]
+    got = rows(c.components(spark.createDataFrame(edges, "a long, b long"), scratch))
+    assert got == [(i, 0) for i in range(200)] + [(1000 + i, 1000) for i in range(10)]
+
+
+@pytest.mark.parametrize("partitions", ["1", "16"])
+def test_results_do_not_depend_on_partitions(spark, scratch, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        r = random.Random(9)
+        edges = spark.createDataFrame([(r.randrange(80), r.randrange(80)) for _ in range(60)], "a long, b long")
+        got = rows(components(edges.repartition(int(partitions)), scratch))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert all(label <= v for v, label in got) and len({label for _, label in got}) == sum(v == label for v, label in got)
+
+
+def test_canonical_list_in_blocks(spark, tmp_path, monkeypatch):
+    from geoweave.llm import queries
+
+    d = str(tmp_path)
+    spark.createDataFrame([(1, "Gánjenumba", ["x"], None, 1.0, 1.0, "AA", 5), (2, "Duvelgate", None, ["Old Gate"], 1.0, 1.0, "BB", 6), (3, "Kukiszurina", [], [], 1.0, 1.0, "AA", 7)], "geonameId long, name string, alternateNames array<string>, wikidataAlternateNames array<string>, latitude double, longitude double, countryCode string, population long").write.parquet(f"{d}/placeref.parquet")
+    spark.createDataFrame([("AA", "Arlandia", "Q1")], "code string, name string, qid string").write.parquet(f"{d}/country.parquet")
+    spark.createDataFrame([(1, "ganjenumba", None), (1, "ganjenumba", None), (2, "old gate", None), (3, "kukisurina", "AA"), (4, "at sea", None), (5, None, None), (None, "x", None)], "mentionId long, rawName string, countryHint string").write.parquet(f"{d}/placemention.parquet")
+    want = [(1, 1), (2, 2), (3, 3), (4, 0), (5, 0)]
+    assert rows(queries.p6_found(spark, d)) == want
+    monkeypatch.setattr(queries, "REFERENCE_BLOCK", 1)
+    assert rows(queries.p6_found(spark, d)) == want
+
+
+def test_items_in_blocks(spark, tmp_path, monkeypatch):
+    from geoweave.llm import queries
+
+    d = str(tmp_path)
+    spark.createDataFrame([(1, ITEM), (2, None), (3, ITEM.upper())], "item_id long, text string").write.parquet(f"{d}/evalitem.parquet")
+    spark.createDataFrame([(10, "x " + ITEM + " y"), (11, None), (12, ""), (13, "nothing here")], "doc_id long, text string").write.parquet(f"{d}/documents.parquet")
+    assert rows(queries.p7_found(spark, d)) == [(10, 1), (10, 3)]
+    monkeypatch.setattr(queries, "ITEM_BLOCK", 1)
+    assert rows(queries.p7_found(spark, d)) == [(10, 1), (10, 3)]
+    assert {(r.item_id, r.documents) for r in queries.p7_leaked_items(spark, d).collect()} == {(1, 1), (3, 1)}
+
+
+def test_surrogates_are_distinct(spark, tmp_path, monkeypatch):
+    from geoweave.llm import queries
+
+    d = str(tmp_path)
+    people = [(f"Mirelle Quill{chr(97 + i)}rd",) for i in range(20)] + [("Haldor X Bell",)] * 3
+    spark.createDataFrame(people, "name string").write.parquet(f"{d}/historicalperson.parquet")
+    texts = [(i, f"by Mirelle Quill{chr(97 + i)}rd, again Quill{chr(97 + i)}rd, Mirelle.") for i in range(20)] + [(50, None), (51, "plain")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{d}/documents.parquet")
+    # A tiny space of surrogates on the first draw: most collide and are drawn again.
+    real = pii.surrogate_core
+    monkeypatch.setattr(pii, "surrogate_core", lambda key, kind, entity, attempt: "Anna Same" if attempt == 0 else real(key, kind, entity, attempt))
+    got = {r.doc_id: r for r in queries.p9_redacted(spark, d).collect()}
+    assert len(got) == 22 and got[50].tagged is None and got[51].surrogate == "plain"
+    assert all(got[i].tagged == "by [NAME_1], again [NAME_1]." for i in range(20))
+    assert len({got[i].surrogate for i in range(20)}) == 20
