@@ -32,11 +32,20 @@ def _box(prefix: str) -> dict:
     return {k: F.col(f"{prefix}{k}") for k in "snwe"}
 
 
+#: Levels counted together; only points under nodes still too full go on to the next group.
+_GROUPS = ((0, 4, 6, 8, 10), (12, 14, 16), (18, 20))
+
+
+def _up(level: Column) -> tuple[Column, Column]:
+    """Cell of a point at a level."""
+    return F.expr(f"shiftright(iy, {_DEEP} - level)"), F.expr(f"shiftright(ix, {_DEEP} - level)")
+
+
 class PointTree:
     """The node table and the blocked leaves of a set of (id, lat, lon) points.
 
     Points without a valid position are in no leaf.  Repeated ids stay as they
-    are; the caller passes one row per id.
+    are; the caller passes one row per id.  One tree serves several joins.
     """
 
     def __init__(self, points: DataFrame, scratch: Scratch, leaf_cap: int = 64):
@@ -45,34 +54,38 @@ class PointTree:
         cell = lambda v, span: F.least(F.lit(side - 1), F.floor((v + span / 2) / span * side)).cast("long")
         pts = points.select("id", "lat", "lon").where(geo.valid_position(F.col("lat"), F.col("lon")))
         self.points = scratch.save(pts.withColumn("iy", cell(F.col("lat"), 180.0)).withColumn("ix", cell(F.col("lon"), 360.0)), "points")
-        spot = self.points.groupBy("iy", "ix").agg(
-            F.count(F.lit(1)).alias("cnt"), F.min("lat").alias("s"), F.max("lat").alias("n"), F.min("lon").alias("w"), F.max("lon").alias("e")
-        )
-        self.spots = scratch.save(spot, "spots")
-        at = F.explode(F.array(*[F.lit(v) for v in LEVELS])).alias("level")
-        up = lambda c, by: F.expr(f"shiftright({c}, {by})")
-        full = (
-            self.spots.select("*", at)
-            .groupBy("level", up("iy", f"{_DEEP} - level").alias("iy"), up("ix", f"{_DEEP} - level").alias("ix"))
-            .agg(F.sum("cnt").alias("cnt"), F.min("s").alias("s"), F.max("n").alias("n"), F.min("w").alias("w"), F.max("e").alias("e"))
-        )
-        # A node is in the tree if its parent is too full to be a leaf.
-        full = scratch.save(full, "levels")
         above = F.create_map(*[F.lit(x) for pair in zip(LEVELS[1:], LEVELS) for x in pair])
-        wide = full.where(F.col("cnt") > leaf_cap).select(_key(F.col("level"), F.col("iy"), F.col("ix")).alias("parent"))
-        step = F.col("level") - F.element_at(above, F.col("level"))
-        child = full.where(F.col("level") > 0).withColumn("_st", step).withColumn(
-            "parent", _key(F.col("level") - F.col("_st"), F.expr("shiftright(iy, _st)"), F.expr("shiftright(ix, _st)"))
-        )
-        root = full.where(F.col("level") == 0).withColumn("parent", F.lit(-1).cast("long"))
-        inside = child.drop("_st").join(wide, "parent", "left_semi").unionByName(root)
-        nodes = inside.select(
-            _key(F.col("level"), F.col("iy"), F.col("ix")).alias("node"), "parent", "level",
-            ((F.col("cnt") <= leaf_cap) | (F.col("level") == _DEEP)).alias("leaf"),
-            F.ceil(F.col("cnt") / self.block).cast("int").alias("blocks"), "s", "n", "w", "e",
-        )
-        self.nodes = scratch.save(nodes, "nodes")
-        scratch.drop(full)
+        self.levels: list[int] = []
+        self.nodes: DataFrame | None = None
+        rest, wide = self.points.select("iy", "ix", "lat", "lon"), None
+        for group in _GROUPS:
+            at = rest.withColumn("level", F.explode(F.array(*[F.lit(v) for v in group])))
+            y, x = _up(F.col("level"))
+            full = at.groupBy("level", y.alias("iy"), x.alias("ix")).agg(
+                F.count(F.lit(1)).alias("cnt"), F.min("lat").alias("s"), F.max("lat").alias("n"), F.min("lon").alias("w"), F.max("lon").alias("e")
+            )
+            step = F.col("level") - F.coalesce(F.try_element_at(above, F.col("level")), F.lit(0))
+            full = full.withColumn("_st", step).select(
+                "level", _key(F.col("level"), F.col("iy"), F.col("ix")).alias("node"),
+                F.when(F.col("level") == 0, F.lit(-1)).otherwise(_key(F.col("level") - F.col("_st"), F.expr("shiftright(iy, _st)"), F.expr("shiftright(ix, _st)"))).alias("parent"),
+                "cnt", "s", "n", "w", "e",
+            )
+            full = scratch.save(full, "levels")
+            # A node is in the tree if its parent is too full to be a leaf.
+            here = full.where(F.col("cnt") > leaf_cap).select(F.col("node").alias("parent"), "level")
+            open_ = here.select("parent") if wide is None else here.select("parent").unionByName(wide)
+            inside = full.where("level > 0").join(open_, "parent", "left_semi").unionByName(full.where("level = 0"), allowMissingColumns=True)
+            nodes = scratch.save(inside.select(
+                "node", "parent", "level", ((F.col("cnt") <= leaf_cap) | (F.col("level") == _DEEP)).alias("leaf"), F.ceil(F.col("cnt") / self.block).cast("int").alias("blocks"), "s", "n", "w", "e"
+            ), "nodes")
+            self.nodes = nodes if self.nodes is None else self.nodes.unionByName(nodes)
+            self.levels += group
+            wide = here.where(F.col("level") == group[-1]).select("parent")
+            if group[-1] == _DEEP or wide.isEmpty():
+                break
+            y, x = (F.expr(f"shiftright({c}, {_DEEP - group[-1]})") for c in ("iy", "ix"))
+            rest = rest.withColumn("parent", _key(group[-1], y, x)).join(wide, "parent", "left_semi").drop("parent")
+        self._packed: DataFrame | None = None
 
     def step(self, level: int) -> DataFrame:
         """What stands for a node after the step to ``level``: its children, or itself if a leaf above."""
@@ -86,19 +99,17 @@ class PointTree:
         return here.withColumn("parent", F.col("node")).drop("level")
 
     def packed(self) -> DataFrame:
-        """Leaf blocks: (node, block, pts), each array at most about ``block`` points long."""
-        leaf = self.nodes.where("leaf").select("node", "blocks")
-        at = F.explode(F.array(*[F.lit(v) for v in LEVELS])).alias("level")
-        home = self.spots.select("iy", "ix", at).select(
-            "iy", "ix", _key(F.col("level"), F.expr(f"shiftright(iy, {_DEEP} - level)"), F.expr(f"shiftright(ix, {_DEEP} - level)")).alias("node")
-        )
-        home = home.join(leaf, "node")
-        return (
-            self.points.join(home, ["iy", "ix"])
-            .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int"))
-            .groupBy("node", "block")
-            .agg(F.collect_list(F.struct("id", "lat", "lon")).alias("pts"))
-        )
+        """Leaf blocks: (node, block, pts), each array at most about ``block`` points long; written once."""
+        if self._packed is None:
+            leaf = self.nodes.where("leaf").select("node", "blocks", "level")
+            # At most one value per level of the tree.
+            used = sorted(r.level for r in leaf.select("level").distinct().collect())
+            at = self.points.withColumn("level", F.explode(F.array(*[F.lit(v) for v in used]).cast("array<int>")))
+            y, x = _up(F.col("level"))
+            home = at.select("id", "lat", "lon", _key(F.col("level"), y, x).alias("node")).join(leaf.drop("level"), "node")
+            block = F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int")
+            self._packed = self.scratch.save(home.groupBy("node", block.alias("block")).agg(F.collect_list(F.struct("id", "lat", "lon")).alias("pts")), "leaves")
+        return self._packed
 
     @property
     def root(self) -> DataFrame:
@@ -109,18 +120,18 @@ def _renamed(df: DataFrame, p: str) -> DataFrame:
     return df.select(F.col("parent").alias(f"{p}parent"), *[F.col(c).alias(f"{p}{c}") for c in ("node", "leaf", "blocks", "s", "n", "w", "e")])
 
 
-def near_pairs(points: DataFrame, km: float, scratch: Scratch, leaf_cap: int = 64) -> DataFrame:
+def near_pairs(points: DataFrame | PointTree, km: float, scratch: Scratch, leaf_cap: int = 64) -> DataFrame:
     """All unordered pairs of different ids at most ``km`` apart: (left_id, right_id), smaller first.
 
-    ``points`` has id, lat, lon.  Rows without a valid position have no pair; an
+    ``points`` has id, lat, lon, or is a tree of them.  Rows without a valid position have no pair; an
     empty table gives none.  Points on one spot pair with each other (distance
     0).  The number of rows is that of the true pairs, nothing is capped.
     """
-    tree = PointTree(points, scratch, leaf_cap)
+    tree = points if isinstance(points, PointTree) else PointTree(points, scratch, leaf_cap)
     limit = geo.hav_of_km(km)
     live = tree.root.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(False).alias("sure"))
     finished: list[DataFrame] = []
-    for level in LEVELS[1:]:
+    for level in tree.levels[1:]:
         side = tree.step(level)
         pair = live.select("a", "b", "sure").join(_renamed(side, "l"), F.col("a") == F.col("lparent")).join(_renamed(side, "r"), F.col("b") == F.col("rparent"))
         pair = pair.where((F.col("a") != F.col("b")) | (F.col("lnode") <= F.col("rnode")))
@@ -140,7 +151,7 @@ def near_pairs(points: DataFrame, km: float, scratch: Scratch, leaf_cap: int = 6
         leaves = leaves.unionByName(f)
     count = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     blocks = leaves.withColumn("i", count("ab")).withColumn("j", count("bb")).where((F.col("a") != F.col("b")) | (F.col("i") <= F.col("j")))
-    packed = scratch.save(tree.packed(), "leaves")
+    packed = tree.packed()
     pa = packed.select(F.col("node").alias("a"), F.col("block").alias("i"), F.col("pts").alias("pa"))
     pb = packed.select(F.col("node").alias("b"), F.col("block").alias("j"), F.col("pts").alias("pb"))
     met = blocks.join(pa, ["a", "i"]).join(pb, ["b", "j"])
@@ -153,13 +164,13 @@ def near_pairs(points: DataFrame, km: float, scratch: Scratch, leaf_cap: int = 6
     )
 
 
-def points_in_regions(points: DataFrame, regions: DataFrame, scratch: Scratch, leaf_cap: int = 64) -> DataFrame:
+def points_in_regions(points: DataFrame | PointTree, regions: DataFrame, scratch: Scratch, leaf_cap: int = 64) -> DataFrame:
     """Every region with every point inside it, in the plane: (region_id, point_id).
 
     ``regions`` has region_id and edges (see ``geo.polygon_edges``).  Overlapping
     regions each give their rows; a region without edges holds nothing.
     """
-    tree = PointTree(points, scratch, leaf_cap)
+    tree = points if isinstance(points, PointTree) else PointTree(points, scratch, leaf_cap)
     ex = lambda f, *cs: f(F.flatten(F.transform("edges", lambda e: F.array(*[e[c] for c in cs]))))
     reg = regions.where(F.size("edges") > 0).select(
         "region_id", "edges", ex(F.array_min, "y1", "y2").alias("zs"), ex(F.array_max, "y1", "y2").alias("zn"), ex(F.array_min, "x1", "x2").alias("zw"), ex(F.array_max, "x1", "x2").alias("ze")
@@ -173,7 +184,7 @@ def points_in_regions(points: DataFrame, regions: DataFrame, scratch: Scratch, l
     opened = cells.select("region_id", _key(top, F.col("iy"), F.col("ix")).alias("a")).unionByName(cells.select("region_id", _key(0, F.col("iy") * 0, F.col("ix") * 0).alias("a")).distinct())
     live = opened.withColumn("sure", F.lit(False))
     finished: list[DataFrame] = []
-    for level in LEVELS[1:]:
+    for level in tree.levels[1:]:
         kids = _renamed(tree.first_cells() if level == top else tree.step(level), "l")
         met = live.join(kids, F.col("a") == F.col("lparent")).join(reg, "region_id")
         box = _box("l")

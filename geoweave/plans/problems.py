@@ -55,7 +55,7 @@ def p2_country_profile(spark: SparkSession, d: str) -> DataFrame:
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Places within 2 km of each other, and zones with the places inside."""
     scratch = Scratch(spark, "p3")
-    pts = scratch.save(positions(spark, d), "positions")
+    pts = dualtree.PointTree(positions(spark, d), scratch)
     near = dualtree.near_pairs(pts, NEAR_KM, scratch)
     zones = table(spark, d, "surveyzone").select(F.col("zoneId").alias("region_id"), geo.polygon_edges(F.col("boundary")).alias("edges"))
     inside = dualtree.points_in_regions(pts, zones, scratch)
