@@ -410,15 +410,47 @@ def recon_fuzzy_names(spark, d):
     return within_edits(plain(entities(spark, d, "name"), "a"), plain(places(spark, d, "name"), "b"), 2)
 
 
-@query()
-def recon_fuzzy(spark, d):
-    return reconcile.fuzzy(_requests(spark, d), _gazetteer(spark, d)).select("mention_id", "geonameId", "confidence", "place_rank")
+def _plain(c):
+    """Folded letters, anything left beyond ASCII as a question mark: edits count alike in every engine."""
+    return F.regexp_replace(fold(c), "[^ -~]", "?")
+
+
+def _plain_requests(spark, d):
+    return _requests(spark, d).withColumn("name", _plain(F.col("name")))
+
+
+def _plain_gazetteer(spark, d):
+    lists = {c: F.transform(c, lambda x: _plain(x)) for c in ("alternateNames", "wikidataAlternateNames")}
+    return _gazetteer(spark, d).withColumns({"name": _plain(F.col("name"))} | lists)
 
 
-@query()
+_PLAIN_LIST = "list_transform(coalesce({c}, []), lambda x: " + _ASCII.replace("{x}", "x") + ")"
+_SMART = f"""with req as (select substr(w.qid, 2)::bigint mention_id, {_ASCII.replace('{x}', 'w."name"')} wanted, c.code country, '07' admin1, w.lat, w.lon, w.label = 'ghost town' hist from {{w}} left join country c on upper(trim(c.qid)) = w.countryQid),
+ pp as (select *, {_ASCII.replace('{x}', '"name"')} plain from {{p}}),
+ nm as (select distinct geonameId, unnest(list_concat([plain], {_PLAIN_LIST.replace('{c}', 'alternateNames')}, {_PLAIN_LIST.replace('{c}', 'wikidataAlternateNames')})) wanted from pp),
+ nm2 as (select distinct geonameId, unnest(list_concat([plain], {_PLAIN_LIST.replace('{c}', 'alternateNames')})) wanted from pp),
+ fz as (select req.mention_id, pp.geonameId, round(1 - levenshtein(req.wanted, plain)::double / nullif(length(req.wanted), 0), 3) confidence,
+ row_number() over (partition by mention_id order by levenshtein(req.wanted, plain), population desc nulls last, geonameId)::int r from req join pp on abs(length(wanted) - length(plain)) <= 2 and (country is null or countryCode = country) where levenshtein(wanted, plain) <= 2)"""
+
+
+@query(_SMART + " select mention_id, geonameId, confidence, r as place_rank from fz where r <= 20")
+def recon_fuzzy(spark, d):
+    return reconcile.fuzzy(_plain_requests(spark, d), _plain_gazetteer(spark, d)).select("mention_id", "geonameId", "confidence", "place_rank")
+
+
+@query(_SMART + f""", hits as (
+ select req.mention_id, geonameId, 1.0::double confidence, 'exact' strategy, 1 sr, row_number() over (partition by mention_id order by population desc nulls last, geonameId) r from req join nm using (wanted) join pp using (geonameId) where country is null or countryCode = country
+ union all select mention_id, geonameId, 0.95, 'administrative', 2, row_number() over (partition by mention_id order by population desc nulls last, geonameId) from req join nm2 using (wanted) join pp using (geonameId)
+ where countryCode = coalesce(country, 'CA') and contains(countryCode || '.' || admin1Code, admin1)
+ union all select mention_id, geonameId, round(1 - km / 50.0::double, 3), 'geographic', 3, row_number() over (partition by mention_id order by km, geonameId) from (select req.mention_id, pp.geonameId, {km_sql('req', 'pp')} km from req join nm2 using (wanted) join pp using (geonameId)) where km <= 50
+ union all select mention_id, geonameId, 0.9, 'historical', 4, row_number() over (partition by mention_id order by geonameId) from req join nm using (wanted) join pp using (geonameId) where hist and countryCode = coalesce(country, 'CA') and featureCode in ('PPLH', 'PPLQ', 'PPLW')),
+ found as (select * from (select *, row_number() over (partition by mention_id, geonameId order by sr, r) k from hits where r <= 20) where k = 1),
+ every as (select mention_id, geonameId, confidence, strategy, sr, r from found union all select mention_id, geonameId, confidence, 'fuzzy', 5, r from fz where r <= 20 and mention_id not in (select mention_id from found group by 1 having count(*) >= 5)),
+ one as (select *, row_number() over (partition by mention_id, geonameId order by sr, r) k from every)
+ select mention_id, geonameId, strategy, confidence, rk as rank from (select *, row_number() over (partition by mention_id order by confidence desc, sr, r, geonameId)::int rk from one where k = 1 and confidence >= 0.7) where rk <= 10""")
 def recon_smart(spark, d):
-    p = _gazetteer(spark, d)
-    return reconcile.smart(_requests(spark, d), p, _located(p))
+    p = _plain_gazetteer(spark, d)
+    return reconcile.smart(_plain_requests(spark, d), p, _located(p))
 
 
 # ---- people
