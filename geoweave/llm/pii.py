@@ -42,7 +42,7 @@ _IDNUM = re.compile(
     r"(?<![\w.\-/])(?:\d{4}-\d{3}-\d{3}-[A-Z]{2}|\d\s\d\d\s\d\d\s\d\d\s\d{3}\s\d{3}|\d{3}-\d\d-\d{4}|[A-Z]{2}\d{7}|\d{3}\s\d{3}\s\d{3}|\d{9})(?![\w]|-\w|\.\d|\s\d{3}\b)"
 )
 # Before a bare number these announce a record, not a person's document.
-_RECORD = re.compile(r"(?:identifi\w+|registe?r? (?:has|indica|steht)|indica|steht|register has|\bid|ref\.|reg\.|Q)\s*$", re.I)
+_RECORD = re.compile(r"(?:identifi\w+|registe?r? (?:has|indica|steht)|indica|steht|register has|(?-i:\bid)|ref\.|reg\.|Q)\s*$", re.I)
 _NUMBER = r"\d{1,4}(?:-[A-Z])?"
 _NAMED = rf"(?:[NSEW]\.?\s|(?:North|South|East|West|NORTH|SOUTH|EAST|WEST)\s)?[{_L}][\w'’-]+(?:\s[{_L}][\w'’-]+)?"
 _ADDRESS = re.compile(
@@ -89,7 +89,8 @@ class Lexicon:
         for pattern in self.names:
             for m in pattern.finditer(text):
                 a, z = m.span()
-                if free(a, z) and not re.search(r"\d{1,4}(?:-[A-Z])?\s{1,3}$", text[max(0, a - 8) : a]):
+                # A compass point behind a house number begins a street.
+                if free(a, z) and not (text[a : a + 2] in ("N.", "S.", "E.", "W.") and re.search(r"\d(?:-[A-Z])?\s{1,3}$", text[max(0, a - 8) : a])):
                     taken.append((a, z, "name"))
         return sorted(taken)
 

@@ -152,10 +152,10 @@ def lexicon():
     "text,want",
     [
         ("Selon Mirelle Quillard, la chapelle", [("name", "Mirelle Quillard")]), ("Mme Orminwick, Mirelle conserve", [("name", "Orminwick, Mirelle")]), ("Dr. Z. H. Caveau said", [("name", "Z. H. Caveau")]),
-        ("HALDOR MACHASK (XK0506324)", [("name", "HALDOR MACHASK"), ("idnum", "XK0506324")]), ("Haldor Hollis de\nStavoard ran", [("name", "Haldor Hollis de\nStavoard")]), ("P.O. Harbour and 576 E. Orchard Avenue until", [("address", "576 E. Orchard Avenue")]),
+        ("reg. 20055864 Haldor Dumham, 9 barns", [("name", "Haldor Dumham")]), ("HALDOR MACHASK (XK0506324)", [("name", "HALDOR MACHASK"), ("idnum", "XK0506324")]), ("Haldor Hollis de\nStavoard ran", [("name", "Haldor Hollis de\nStavoard")]), ("P.O. Harbour and 576 E. Orchard Avenue until", [("address", "576 E. Orchard Avenue")]),
         ("<a.b+c@x.example>.", [("email", "a.b+c@x.example")]), ("mail a_b [at] post [dot] mg [dot] example for", [("email", "a_b [at] post [dot] mg [dot] example")]), ("The survey @ 1977 feet was", []), ("to x(at)kartei.example, on", [("email", "x(at)kartei.example")]),
         ("Ring +33 (0)1 99 00 95 13 now", [("phone", "+33 (0)1 99 00 95 13")]), ("(204) 555-0189 le", [("phone", "(204) 555-0189")]), ("+1, my sheet from 1836", []), ("ISBN 7-1951-3976-X and 54.10.7099 and 7508-296-13", []),
-        ("Health card 3 45 13 68 907 132 was", [("idnum", "3 45 13 68 907 132")]), ("no. 1069-890-715-QP was", [("idnum", "1069-890-715-QP")]), ("l'identifiant 700181099. On", []), ("The 1720 Wren Street fire destroyed", []),
+        ("Health card 3 45 13 68 907 132 was", [("idnum", "3 45 13 68 907 132")]), ("no. 1069-890-715-QP was", [("idnum", "1069-890-715-QP")]), ("l'identifiant 700181099. On", []), ("ID 811746076 (copy enclosed)", [("idnum", "811746076")]), ("Hill); id 700181099; ref", []), ("The 1720 Wren Street fire destroyed", []),
         ("Return to 1218 Harrow Cres. if", [("address", "1218 Harrow Cres.")]), ("Unit 14, 948 Foundry Court", [("address", "Unit 14, 948 Foundry Court")]), ("Adresse : 35 bis, chemin Wren", [("address", "35 bis, chemin Wren")]), ("Wohnhaft Am Tanneryhof 94.", [("address", "Am Tanneryhof 94")]),
         ("Vive en Avenida del Cooper, 176.", [("address", "Avenida del Cooper, 176")]), ("", []),
     ],
