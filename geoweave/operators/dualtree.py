@@ -57,7 +57,7 @@ class PointTree:
         above = F.create_map(*[F.lit(x) for pair in zip(LEVELS[1:], LEVELS) for x in pair])
         self.levels: list[int] = []
         self.nodes: DataFrame | None = None
-        rest, wide = self.points.select("iy", "ix", "lat", "lon"), None
+        rest, wide, counts = self.points.select("iy", "ix", "lat", "lon"), None, []
         for group in _GROUPS:
             at = rest.withColumn("level", F.explode(F.array(*[F.lit(v) for v in group])))
             y, x = _up(F.col("level"))
@@ -71,6 +71,7 @@ class PointTree:
                 "cnt", "s", "n", "w", "e",
             )
             full = scratch.save(full, "levels")
+            counts.append(full)
             # A node is in the tree if its parent is too full to be a leaf.
             here = full.where(F.col("cnt") > leaf_cap).select(F.col("node").alias("parent"), "level")
             open_ = here.select("parent") if wide is None else here.select("parent").unionByName(wide)
@@ -85,6 +86,7 @@ class PointTree:
                 break
             y, x = (F.expr(f"shiftright({c}, {_DEEP - group[-1]})") for c in ("iy", "ix"))
             rest = rest.withColumn("parent", _key(group[-1], y, x)).join(wide, "parent", "left_semi").drop("parent")
+        scratch.drop(*counts)
         self._packed: DataFrame | None = None
 
     def step(self, level: int) -> DataFrame:
