@@ -23,6 +23,8 @@ from geoweave.runtime import Scratch
 
 #: Documents per slice of a two-level prefix sum.
 SLICE = 50_000
+#: Targets up to this many are broadcast.
+FEW = 100_000
 
 
 def token_frames(ranks: bytes, pattern: str):
@@ -108,14 +110,16 @@ def mix(docs: DataFrame, raw_targets: DataFrame, scratch: Scratch, seed: str = "
     inside = Window.partitionBy("source", "slice").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = sliced.withColumn("upto", F.sum("tokens").over(inside)).join(part, ["source", "slice"]).select("source", "doc_id", "tokens", (F.col("base") + F.col("upto")).alias("upto"))
     goal = t.where("weight > 0").join(span, "mix").select("mix", "source", "weight", "copies", "size", "budget", "horizon")
-    rows = ranked.join(F.broadcast(goal), "source")
+    # The targets are a table of settings; a small one goes to the documents, a large one meets them by key.
+    small = F.broadcast if t.count() <= FEW else lambda df: df
+    rows = ranked.join(small(goal), "source")
     most = F.when(F.col("horizon").isNull(), F.col("copies")).otherwise(F.least(F.col("copies"), F.floor((F.col("horizon") * F.col("weight") - F.col("upto")) / F.col("size")) + 1)).cast("int")
     rows = rows.withColumn("most", most).where("most > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("most"))))
     rows = rows.withColumn("finish", ((F.col("copy") - 1) * F.col("size") + F.col("upto")) / F.col("weight"))
     rows = scratch.save(rows.select("mix", "source", "doc_id", "copy", "tokens", "finish", "budget"), "queue")
     # Cut at the budget: whole slices of virtual time first, then rows of the slice where it falls.
     ends = rows.groupBy("mix").agg(F.max("finish").alias("end"), F.greatest(F.lit(16), F.ceil(F.count(F.lit(1)) / (SLICE / 10))).alias("cuts"))
-    at = rows.join(F.broadcast(ends), "mix").withColumn("cut", F.floor(F.col("finish") / F.col("end") * F.col("cuts"))).drop("end", "cuts")
+    at = rows.join(small(ends), "mix").withColumn("cut", F.floor(F.col("finish") / F.col("end") * F.col("cuts"))).drop("end", "cuts")
     sums = at.groupBy("mix", "cut").agg(F.sum("tokens").alias("here"), F.max("budget").alias("goal"))
     run = Window.partitionBy("mix").orderBy("cut").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = sums.withColumn("done", F.sum("here").over(run)).where(F.col("done") - F.col("here") < F.col("goal"))
