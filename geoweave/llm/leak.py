@@ -166,7 +166,12 @@ class Items:
         self.search = WuManber(patterns)
 
     def found(self, text: str) -> dict[int, int]:
-        """item id -> words of its longest passage in the text, LEAST or more."""
+        """item id -> words of its longest passage in the text, LEAST or more.
+
+        Whole texts are searched.  Items shorter than LEAST words, empty or null
+        ones are never found; an item occurring several times counts once, with
+        its longest passage; equal items are each found.
+        """
         t = letters(text)
         out: dict[int, int] = {}
         seen: set[tuple[int, int]] = set()

@@ -70,7 +70,11 @@ class Lexicon:
         self.names = [re.compile(w) for w in ways]
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
-        """Disjoint (start, end, kind) in text order."""
+        """Disjoint (start, end, kind) in text order.
+
+        Where two kinds claim the same letters, the earlier of email, phone,
+        document number, address, name keeps them.  An empty text has none.
+        """
         taken: list[tuple[int, int, str]] = []
 
         def free(a: int, z: int) -> bool:
@@ -207,7 +211,11 @@ def core_frames(key: str):
 
 
 def replace_frames(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """mapInPandas function over (doc_id, text, hits): (doc_id, tagged, surrogate)."""
+    """mapInPandas function over (doc_id, text, hits): (doc_id, tagged, surrogate).
+
+    Equal entities of a document share their number and surrogate; everything
+    between the entities stays letter for letter.  A null text stays null.
+    """
     for df in frames:
         out = []
         for d, text, hits in zip(df["doc_id"], df["text"], df["hits"]):
