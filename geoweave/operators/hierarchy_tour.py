@@ -35,10 +35,11 @@ class Hierarchy:
     """Edges (line, node, parent) turned into ranked Euler tours.
 
     ``edges`` has one row per link; each node has one parent per line.  Parents
-    need not be nodes.  An empty table gives empty results.
+    need not be nodes.  An empty table gives empty results.  With ``tails``,
+    nodes that lead into a cycle are ranked too, below the node of it they reach.
     """
 
-    def __init__(self, edges: DataFrame, scratch: Scratch):
+    def __init__(self, edges: DataFrame, scratch: Scratch, tails: bool = False):
         self.scratch = scratch
         e = scratch.save(_clean(edges), "edges")
         keys = e.select("line", F.col("node").alias("key")).union(e.select("line", F.col("parent"))).distinct()
@@ -48,7 +49,7 @@ class Hierarchy:
         e = e.join(ids.select("line", F.col("key").alias("parent"), F.col("vid").alias("p")), ["line", "parent"])
         self.edges = scratch.save(e.select("v", "p"), "links")
         self.endless, self.cycle = self._peel()
-        self.forest = scratch.save(self.edges.join(self.endless, "v", "left_anti"), "forest")
+        self.forest = scratch.save(self.edges.join(self.cycle if tails else self.endless, "v", "left_anti"), "forest")
         self.arcs = self._rank(self._tour())
 
     def _peel(self) -> tuple[DataFrame, DataFrame]:
@@ -132,6 +133,43 @@ class Hierarchy:
         into a cycle have root '', depth -1, no path and no count; ``in_cycle``
         tells those on it.
         """
+        nodes, roots = self._trees(partitions)
+        tops = roots.select("line", F.col("root_id").alias("node_id"), "root_id", F.lit(0).alias("depth"), F.array("root_id").alias("path"), "descendants")
+        bad = self._named(self.endless.join(self.cycle.withColumn("c", F.lit(True)), "v", "left"), "v", "node_id", line=True)
+        none = bad.select("line", "node_id", F.lit("").alias("root_id"), F.lit(-1).alias("depth"), F.lit(None).cast("array<string>").alias("path"), F.lit(None).cast("long").alias("descendants"), F.coalesce("c", F.lit(False)).alias("in_cycle"))
+        return nodes.unionByName(tops).withColumn("in_cycle", F.lit(False)).unionByName(none)
+
+    def descendants(self, partitions: int | None = None) -> DataFrame:
+        """(line, ancestor_id, descendant_id), one row per pair; needs ``tails``.
+
+        What the stack scan holds open at a node are its ancestors.  All nodes of
+        a cycle are above each other, themselves and everything that leads in.
+        """
+        nodes, _ = self._trees(partitions)
+        pairs = nodes.select("line", F.explode(F.slice("path", 1, F.size("path") - 1)).alias("ancestor_id"), F.col("node_id").alias("descendant_id"))
+        ring = self._rings()
+        inside = ring.select("v", F.lit(None).cast("long").alias("root"), "ring")
+        below = self._down().select("v", "root").join(ring.withColumnRenamed("v", "root"), "root").select("v", "root", "ring").unionByName(inside)
+        # The node a tail hangs on stands in its path already.
+        over = below.join(ring.select(F.col("v").alias("a"), "ring"), "ring").where(F.col("root").isNull() | (F.col("a") != F.col("root")))
+        over = self._named(self._named(over.select("a", "v"), "v", "descendant_id", line=True), "a", "ancestor_id")
+        return pairs.unionByName(over.select(*pairs.columns))
+
+    def _rings(self) -> DataFrame:
+        """(v, ring) of the nodes on cycles; ring is the least v of the cycle, by doubling."""
+        cur = self.scratch.save(self.edges.join(self.cycle, "v", "left_semi").select("v", "p", F.least("v", "p").alias("ring")), "ring")
+        while True:
+            b = cur.select(F.col("v").alias("p"), F.col("p").alias("p2"), F.col("ring").alias("r2"))
+            nxt = cur.join(b, "p").select("v", F.col("p2").alias("p"), F.least("ring", "r2").alias("ring"), (F.col("r2") < F.col("ring")).alias("moved"))
+            nxt = self.scratch.save(nxt, "ring")
+            self.scratch.drop(cur)
+            if nxt.where("moved").isEmpty():
+                return nxt.select("v", "ring")
+            cur = nxt.drop("moved")
+            cur._scratch_path = nxt._scratch_path
+
+    def _trees(self, partitions: int | None) -> tuple[DataFrame, DataFrame]:
+        """Ranked nodes with their paths, and the roots (line, root, root_id, descendants)."""
         spark = self.scratch.spark
         ends = self.arcs.where(F.col("arc") % 2 == 1).select(F.expr("arc div 2").alias("v"), F.col("n").alias("leave"))
         span = self.scratch.save(self._named(self._down().join(ends, "v"), "v", "id", line=True), "spans")
@@ -147,10 +185,7 @@ class Hierarchy:
         named = both.join(roots.select("root", "root_id"), "root")
         lined = named.repartition(parts, "part").sortWithinPartitions("part", "root", F.col("enter").desc())
         nodes = lined.mapInPandas(_paths, "line string, node_id string, root_id string, depth int, path array<string>, descendants long")
-        tops = roots.select("line", F.col("root_id").alias("node_id"), "root_id", F.lit(0).alias("depth"), F.array("root_id").alias("path"), "descendants")
-        bad = self._named(self.endless.join(self.cycle.withColumn("c", F.lit(True)), "v", "left"), "v", "node_id", line=True)
-        none = bad.select("line", "node_id", F.lit("").alias("root_id"), F.lit(-1).alias("depth"), F.lit(None).cast("array<string>").alias("path"), F.lit(None).cast("long").alias("descendants"), F.coalesce("c", F.lit(False)).alias("in_cycle"))
-        return nodes.unionByName(tops).withColumn("in_cycle", F.lit(False)).unionByName(none)
+        return nodes, roots
 
 
 def _paths(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -92,12 +92,18 @@ def p4_hierarchy(spark: SparkSession, d: str) -> DataFrame:
     return full.withColumn("path", F.array_join("path", " > "))
 
 
+def p4_descendants(spark: SparkSession, d: str) -> DataFrame:
+    """The descendants of every node, a row for each; a node on a circle is below itself."""
+    return Hierarchy(hierarchy_edges(spark, d), Scratch(spark, "p4d"), tails=True).descendants()
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_country_profile": p2_country_profile,
     "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_hierarchy": p4_hierarchy,
+    "p4_descendants": p4_descendants,
 }
 
 _POLYGON = """e as (select zoneId, v[i] a, v[i % len(v) + 1] b from (select zoneId, v, unnest(range(1, len(v) + 1)) i from (select zoneId, list_transform(string_split(regexp_extract(boundary, '\\(\\(([^()]*)\\)\\)', 1), ','),
@@ -122,4 +128,5 @@ ORACLES: dict[str, str] = {
  select fin.line, fin.node node_id, case when dm = 400 then '' else root end root_id, case when dm = 400 then -1 else dm end::int depth, case when dm < 400 then path end path,
  case when dm < 400 then coalesce(n, 0) end descendants, own.node is not null in_cycle from fin left join below using (line, node) left join own using (line, node)
  union all select line, node, node, 0, node, n, false from below where (line, node) not in (select (line, node) from k)"""),
+    "p4_descendants": base.with_views("with recursive " + _UP + " select distinct line, top ancestor_id, node descendant_id from r"),
 }

@@ -163,6 +163,22 @@ def test_hierarchy_many_children_and_empty(spark, scratch, monkeypatch):
     assert e.depths().count() == 0 and e.full().count() == 0
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_descendants_against_walking(spark, scratch, seed):
+    r = random.Random(seed)
+    edges = [("t", f"n{i}", f"n{r.randrange(max(1, i // 2))}") for i in range(1, 80)] + [("t", f"c{i}", f"c{(i + 1) % 5}") for i in range(5)]
+    edges += [("t", f"d{i}", f"c{i % 5}") for i in range(7)] + [("t", f"e{i}", f"d{i % 7}") for i in range(9)] + [("t", "self", "self"), ("u", "n1", "n0"), ("u", "n0", "top")]
+    up, want = {(line, n): p for line, n, p in edges}, set()
+    for line, n in up:
+        at = n
+        while (line, at) in up and (line, up[line, at], n) not in want:
+            at = up[line, at]
+            want.add((line, at, n))
+    e = spark.createDataFrame(edges, "line string, node string, parent string")
+    assert rows(Hierarchy(e, scratch, tails=True).descendants(5)) == sorted(want)
+    assert Hierarchy(e.limit(0), scratch, tails=True).descendants().count() == 0
+
+
 # ---- identifiers, rows in force
 
 
