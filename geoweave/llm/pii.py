@@ -165,16 +165,18 @@ def surrogate_core(key: str, kind: str, entity: str, attempt: int) -> str:
     if kind == "email":
         return f"{family.lower()}{s.digit()}{s.digit()}{s.digit()}@mail.example"
     if kind == "address":
-        return f"{1 + int(s.digit() + s.digit() + s.digit())} {family}"
+        # Where only the number can differ, later draws take longer ones.
+        return f"{1 + int(''.join(s.digit() for _ in range(3 + attempt // 8)))} {family}"
     return "".join(s.digit() for _ in range(18))
 
 
 def dress(kind: str, found: str, core: str) -> str:
     """The replacement in the format of what was found."""
     if kind in ("phone", "idnum"):
-        digits = iter(core)
         head = re.match(r"\+\d+(?:\s?\(0\))?|1(?=[-. (])|0(?=\d\s)", found) if kind == "phone" else None
         start = head.end() if head else 0
+        # The last digits are what a phone is known by, whatever stands before them.
+        digits = iter(core[-sum(c.isdigit() for c in found[start:]) :])
         return found[:start] + "".join(next(digits) if c.isdigit() else c for c in found[start:])
     if kind == "email":
         box, domain = core.split("@")
@@ -200,12 +202,13 @@ def dress(kind: str, found: str, core: str) -> str:
     return out.upper() if found.isupper() and kind != "idnum" else out
 
 
-def core_frames(key: str):
-    """mapInPandas function over (kind, entity, attempt): adds core."""
+def draw_frames(key: str):
+    """mapInPandas function over (kind, entity, found, attempt): adds core and what the dressed core is known by (shown)."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
-            yield df.assign(core=[surrogate_core(key, k, e, int(a)) for k, e, a in zip(df["kind"], df["entity"], df["attempt"])])
+            cores = [surrogate_core(key, k, e, int(a)) for k, e, a in zip(df["kind"], df["entity"], df["attempt"])]
+            yield df.assign(core=cores, shown=[canonical(k, dress(k, f, c)) for k, f, c in zip(df["kind"], df["found"], cores)])
 
     return run
 

@@ -165,29 +165,35 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return _entities(spark, d).select("doc_id", "kind", "found_text").distinct()
 
 
-def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
-    """Every document with typed placeholders (tagged) and with keyed surrogates (surrogate).
+def _surrogates(hits: DataFrame, scratch: Scratch) -> DataFrame:
+    """(kind, entity, core): dressed in the formats an entity is found in, no core gives what another entity gets or a real one.
 
-    Surrogates are drawn per distinct entity over all documents.  Where two
-    entities drew the same one, or one equals an entity that really occurs, all
-    but the first draw again until none collide.
+    Compared is the canonical form of what is written.  Where two entities drew
+    the same, or one drew a real entity, all but the first draw again until none collide.
     """
-    scratch = Scratch(spark, "p9")
-    hits = scratch.save(_entities(spark, d), "hits")
-    known = scratch.save(hits.select("kind", "entity").distinct(), "entities")
-    draw = lambda df: df.mapInPandas(pii.core_frames(SURROGATE_KEY), "kind string, entity string, attempt int, core string")
-    cur = scratch.save(draw(known.withColumn("attempt", F.lit(0))), "draw")
+    forms = scratch.save(hits.select("kind", "entity", F.col("found_text").alias("found")).distinct(), "forms")
+    known = forms.select("kind", F.col("entity").alias("shown")).distinct()
+    draw = lambda df: df.mapInPandas(pii.draw_frames(SURROGATE_KEY), "kind string, entity string, found string, attempt int, core string, shown string")
+    cur = scratch.save(draw(forms.withColumn("attempt", F.lit(0))), "draw")
     while True:
-        firsts = cur.groupBy("kind", "core").agg(F.min("entity").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-        taken = known.select("kind", F.col("entity").alias("_real"))
-        bad = cur.join(firsts, ["kind", "core"]).where(F.col("entity") != F.col("first")).select("kind", "entity")
-        real = cur.join(taken, (cur["kind"] == taken["kind"]) & (F.lower(cur["core"]) == taken["_real"])).select(cur["kind"], cur["entity"])
+        firsts = cur.groupBy("kind", "shown").agg(F.min("entity").alias("first"), F.max("entity").alias("last")).where("first <> last").drop("last")
+        bad = cur.join(firsts, ["kind", "shown"]).where(F.col("entity") != F.col("first")).select("kind", "entity")
+        real = cur.join(known, ["kind", "shown"], "left_semi").select("kind", "entity")
         again = scratch.save(bad.unionByName(real).distinct(), "again")
         if again.isEmpty():
-            break
-        redo = draw(cur.join(again, ["kind", "entity"], "left_semi").select("kind", "entity", (F.col("attempt") + 1).cast("int").alias("attempt")))
+            return cur.select("kind", "entity", "core").distinct()
+        redo = draw(cur.join(again, ["kind", "entity"], "left_semi").select("kind", "entity", "found", (F.col("attempt") + 1).cast("int").alias("attempt")))
         cur = scratch.save(cur.join(again, ["kind", "entity"], "left_anti").unionByName(redo), "draw")
-    placed = hits.join(cur.select("kind", "entity", "core"), ["kind", "entity"])
+
+
+def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with typed placeholders (tagged) and with keyed surrogates (surrogate).
+
+    Surrogates are drawn per distinct entity over all documents.
+    """
+    scratch = Scratch(spark, "p9")
+    hits = scratch.save(_entities(spark, d), "hits")
+    placed = hits.join(_surrogates(hits, scratch), ["kind", "entity"])
     lists = placed.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop", "kind", "entity", "core")).alias("hits"))
     docs = table(spark, d, "documents").select("doc_id", "text")
     return docs.join(lists, "doc_id", "left").mapInPandas(pii.replace_frames, "doc_id long, tagged string, surrogate string")

@@ -298,3 +298,19 @@ def test_surrogates_are_distinct(spark, tmp_path, monkeypatch):
     assert len(got) == 22 and got[50].tagged is None and got[51].surrogate == "plain"
     assert all(got[i].tagged == "by [NAME_1], again [NAME_1]." for i in range(20))
     assert len({got[i].surrogate for i in range(20)}) == 20
+
+
+def test_surrogates_are_distinct_as_written(spark, tmp_path, monkeypatch):
+    from geoweave.llm import queries
+
+    d = str(tmp_path)
+    spark.createDataFrame([("Haldor X Bell",)] * 3, "name string").write.parquet(f"{d}/historicalperson.parquet")
+    texts = [(1, "by M. Quillard."), (2, "by T. Orminwick."), (3, "at 5 Wren Lane."), (4, "at 77 Same Lane."), (5, "Ring 204-555-0189 now"), (6, "Ring +1 204 555 0133 now")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{d}/documents.parquet")
+    # Cores that differ but look the same once written, or look like what really occurs.
+    first = {"m. quillard": "Alma Same", "t. orminwick": "Adam Same", "5 wren lane": "77 Same", "77 same lane": "78 Other", "045550189": "111111111045550133"}
+    real = pii.surrogate_core
+    monkeypatch.setattr(pii, "surrogate_core", lambda key, kind, entity, attempt: first.get(entity) if attempt == 0 and entity in first else real(key, kind, entity, attempt))
+    got = {r.doc_id: r for r in queries.p9_redacted(spark, d).collect()}
+    assert [got[i].tagged for i, _ in texts] == ["by [NAME_1].", "by [NAME_1].", "at [ADDRESS_1].", "at [ADDRESS_1].", "Ring [PHONE_1] now", "Ring [PHONE_1] now"]
+    assert len({got[i].surrogate for i in (1, 2)}) == 2 and got[3].surrogate not in ("at 77 Same Lane.", got[4].surrogate) and "555-0133" not in got[5].surrogate
