@@ -173,7 +173,7 @@ def surrogate_core(key: str, kind: str, entity: str, attempt: int) -> str:
 def dress(kind: str, found: str, core: str) -> str:
     """The replacement in the format of what was found."""
     if kind in ("phone", "idnum"):
-        head = re.match(r"\+\d+(?:\s?\(0\))?|1(?=[-. (])|0(?=\d\s)", found) if kind == "phone" else None
+        head = re.match(r"\+(?:1|33|44)(?:\s?\(0\))?|1(?=[-. (])|0(?=\d\s)", found) if kind == "phone" else None
         start = head.end() if head else 0
         # The last digits are what a phone is known by, whatever stands before them.
         digits = iter(core[-sum(c.isdigit() for c in found[start:]) :])

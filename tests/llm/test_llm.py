@@ -314,3 +314,11 @@ def test_surrogates_are_distinct_as_written(spark, tmp_path, monkeypatch):
     got = {r.doc_id: r for r in queries.p9_redacted(spark, d).collect()}
     assert [got[i].tagged for i, _ in texts] == ["by [NAME_1].", "by [NAME_1].", "at [ADDRESS_1].", "at [ADDRESS_1].", "Ring [PHONE_1] now", "Ring [PHONE_1] now"]
     assert len({got[i].surrogate for i in (1, 2)}) == 2 and got[3].surrogate not in ("at 77 Same Lane.", got[4].surrogate) and "555-0133" not in got[5].surrogate
+
+
+@pytest.mark.parametrize("found", ["+33612345678", "+14165551234", "14165551234", "4165551234", "+33 (0)6 12 34 56 78", "+33 6 12 34 56 78", "+44 20 7946 0958", "+1 416 555 1234", "06 12 34 56 78", "020 7946 0958"])
+def test_surrogate_of_a_phone_is_another(lexicon, found):
+    assert lexicon.spans(found) == [(0, len(found), "phone")]
+    out = pii.dress("phone", found, "9" * 18)
+    assert out != found and len(out) == len(found) and pii.canonical("phone", out) == "9" * 9
+    assert out.startswith(next((c for c in ("+33", "+44", "+1") if found.startswith(c)), ""))
