@@ -198,58 +198,67 @@ class Matcher:
                     names.setdefault(w, []).append(e)
         self.trie = Trie(names)
         self.countries = [(code, spelling(name)) for code, name in countries if code and name]
-        self.cache: dict[str, tuple[int, list[int], list[str]]] = {}
+        self.cache: dict[str, tuple[int, list[int], list[str], bool]] = {}
 
-    def candidates(self, raw: str) -> tuple[int, list[int], list[str]]:
-        """(distance, closest entries, country codes read from the text); distance -1: none."""
+    def candidates(self, raw: str) -> tuple[int, list[int], list[str], bool]:
+        """(distance, closest entries, country codes read from the text, whether names were completed); distance -1: none."""
         hit = self.cache.get(raw)
         if hit is not None:
             return hit
         ways, cut, tail = reading(raw)
         key = spelling(tail)
         codes = [code for code, name in self.countries if len(key) >= 3 and name.startswith(key)] if key else []
-        out: tuple[int, list[int], list[str]] = (-1, [], codes)
+        out: tuple[int, list[int], list[str], bool] = (-1, [], codes, False)
         most = max((allowed(len(w)) for w in ways), default=0)
         for k in range(most + 1):
             found = {f for w in ways if allowed(len(w)) >= k for f in self.trie.search(w, k)}
-            if not found and cut:
+            completed = not found and cut
+            if completed:
                 found = {f for w in ways if len(w) >= 6 and allowed(len(w)) >= k for f in self.trie.completions(w, k, 6)}
             if found:
                 low = min(d for d, _ in found)
-                out = (low, sorted({e for d, e in found if d == low}), codes)
+                out = (low, sorted({e for d, e in found if d == low}), codes, completed)
                 break
         if len(self.cache) < 200_000:
             self.cache[raw] = out
         return out
 
-    def match(self, raw: str | None, hint: str | None) -> tuple[int, int]:
-        """(entry id or 0, distance or -1).
+    def best(self, raw: str | None, hint: str | None) -> tuple[int, int, bool, bool, int]:
+        """(entry id or 0, distance or -1, name completed, outside the stated country, population).
 
         Null, empty and unreadable values and words for "no place" mean none.
         Of several closest entries the one in the stated country counts, then
         the most populous, then the smallest id; texts of any length are read whole.
+        All but the id, in this order and population downwards, rank the bests of several blocks.
         """
+        none = (0, -1, False, False, 0)
         if not raw:
-            return 0, -1
-        distance, found, codes = self.candidates(raw)
+            return none
+        distance, found, codes, completed = self.candidates(raw)
         if not found:
-            return 0, -1
+            return none
         want = [hint.strip().upper()] if hint and hint.strip() else codes
 
         def rank(e: int) -> tuple:
             ident, country, population, _ = self.entries[e]
             return ((country or "").upper() not in want, -(population or 0), ident)
 
-        return self.entries[min(found, key=rank)][0], distance
+        elsewhere, fewer, ident = min(map(rank, found))
+        return ident, distance, completed, elsewhere, -fewer
+
+    def match(self, raw: str | None, hint: str | None) -> tuple[int, int]:
+        """(entry id or 0, distance or -1) of the best entry."""
+        return self.best(raw, hint)[:2]
 
 
 def search_frames(entries: list, countries: list):
-    """mapInPandas function over (mention_id, raw, hint): adds geoname_id and distance."""
+    """mapInPandas function over (mention_id, raw, hint): adds geoname_id, distance, completed, elsewhere and population."""
+    columns = ["geoname_id", "distance", "completed", "elsewhere", "population"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = Matcher(entries, countries)
         for df in frames:
-            got = [m.match(r, h) for r, h in zip(df["raw"], df["hint"])]
-            yield pd.DataFrame({"mention_id": df["mention_id"], "geoname_id": [g for g, _ in got], "distance": [d for _, d in got]})
+            got = pd.DataFrame([m.best(r, h) for r, h in zip(df["raw"], df["hint"])], columns=columns, index=df.index)
+            yield pd.concat([df[["mention_id"]], got], axis=1)
 
     return run

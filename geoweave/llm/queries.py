@@ -85,11 +85,12 @@ def _p6(spark: SparkSession, d: str) -> DataFrame:
     for b in range(blocks):
         part = ref if blocks == 1 else ref.where(F.pmod(F.xxhash64("geonameId"), F.lit(blocks)) == b)
         entries = [(r[0], r[1], r[2] or 0, list(r[3])) for r in part.collect()]
-        got = m.mapInPandas(canonical.search_frames(entries, countries), "mention_id long, geoname_id long, distance int")
+        got = m.mapInPandas(canonical.search_frames(entries, countries), "mention_id long, geoname_id long, distance int, completed boolean, elsewhere boolean, population long")
         out = got if out is None else out.unionByName(got)
     if blocks > 1:
-        nearest = F.struct(F.when(F.col("distance") < 0, 99).otherwise(F.col("distance")), "geoname_id")
-        out = out.groupBy("mention_id").agg(F.min_by(F.struct("geoname_id", "distance"), nearest).alias("x")).select("mention_id", "x.*")
+        # The whole key by which one block ranks its entries.
+        rank = F.struct(F.when(F.col("distance") < 0, 99).otherwise(F.col("distance")), "completed", "elsewhere", -F.col("population"), "geoname_id")
+        out = out.groupBy("mention_id").agg(F.min_by(F.struct("geoname_id", "distance"), rank).alias("x")).select("mention_id", "x.*")
     return out
 
 

@@ -322,3 +322,18 @@ def test_surrogate_of_a_phone_is_another(lexicon, found):
     out = pii.dress("phone", found, "9" * 18)
     assert out != found and len(out) == len(found) and pii.canonical("phone", out) == "9" * 9
     assert out.startswith(next((c for c in ("+33", "+44", "+1") if found.startswith(c)), ""))
+
+
+def test_blocks_of_the_list_rank_like_one(spark, tmp_path, monkeypatch):
+    from geoweave.llm import queries
+
+    d = str(tmp_path)
+    ref = [(i, n, [], [], c, p) for i, n, c, p in [(1, "Chèmurtval", "AA", 5), (2, "Chemurtval", "BB", 1), (3, "Chemurtval", "CC", 9), (4, "Letelares Point", "AA", 9), (5, "Letelares", "BB", 1), (6, "Letelares Poimont", "CC", None), (7, "Duvelgate", None, 2), (8, "Duvelgate", None, 2), (9, "Duvelgato", "AA", 99)]]
+    spark.createDataFrame(ref, "geonameId long, name string, alternateNames array<string>, wikidataAlternateNames array<string>, countryCode string, population long").write.parquet(f"{d}/placeref.parquet")
+    spark.createDataFrame([("BB", "Borlandia", "Q1"), ("CC", "Corlandia", "Q2")], "code string, name string, qid string").write.parquet(f"{d}/country.parquet")
+    typed = [("chemurtval", "BB"), ("chemurtval", None), ("chemurtval, Borl.", None), ("chemurtvil", "aa"), ("letelares.", None), ("Letelares Poi.", "CC"), ("Letelares Poi.", None), ("duvelgate", "AA"), ("duvelgatx", "AA"), ("at sea", "AA")]
+    spark.createDataFrame([(i, r, h) for i, (r, h) in enumerate(typed)], "mentionId long, rawName string, countryHint string").write.parquet(f"{d}/placemention.parquet")
+    want = list(enumerate([2, 3, 2, 1, 5, 6, 4, 7, 9, 0]))
+    assert rows(queries.p6_found(spark, d)) == want
+    monkeypatch.setattr(queries, "REFERENCE_BLOCK", 1)
+    assert rows(queries.p6_found(spark, d)) == want
