@@ -14,6 +14,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -50,6 +51,15 @@ def letters(text: str) -> str:
     return _OTHER.sub("", plain(text))
 
 
+def breaks(text: str) -> list[int]:
+    """Where words begin or end in ``letters(text)``, ascending, with 0 and its length."""
+    out = [0]
+    for w in _OTHER.split(plain(text)):
+        if w:
+            out.append(out[-1] + len(w))
+    return out
+
+
 def words(text: str) -> list[str]:
     return [w for w in (_OTHER.sub("", t) for t in plain(text).split()) if w]
 
@@ -98,10 +108,45 @@ def _near(a: str, b: str) -> bool:
     return a[i + 1 :] == b[i + 1 :] or a[i:] == b[i + 1 :] or a[i + 1 :] == b[i:]
 
 
-def _extend(ws: list[str], text: str, pos: int) -> list[bool]:
-    """Which of the words follow each other in the text from ``pos`` on; stops where too many fail."""
+def _run(ws: list[str], text: str, pos: int) -> int:
+    """How many of the words follow each other in the text from ``pos`` on; LEAST are enough."""
+    n = 0
+    for w in ws[:LEAST]:
+        if not text.startswith(w, pos):
+            break
+        pos += len(w)
+        n += 1
+    return n
+
+
+def _places(ws: list[str], i: int, skip: int, text: str, pos: int, reach: int, ahead: list[int], edges: list[int]) -> Iterator[int]:
+    """Where the text may go on after ``skip`` words changed or missing, or words put in between.
+
+    The next two words together are sought some way on, at the end of a
+    quotation the next one alone: a short one only as a whole word, behind at
+    most as many words as were skipped and one more (``ahead``: where words begin).
+    """
+    one = ws[i + skip]
+    nxt = "".join(ws[i + skip : i + skip + 2])
+    if len(nxt) < 5:
+        nxt = "".join(ws[i + skip : i + skip + 3])
+    for anchor in (nxt, one):
+        if len(anchor) >= (4 if anchor is nxt else 5):
+            at = text.find(anchor, pos, reach + len(anchor))
+            if at >= 0:
+                yield at
+    for at in ahead[: skip + 2]:
+        if text.startswith(one, at):
+            z = bisect_left(edges, at + len(one))
+            if z < len(edges) and edges[z] == at + len(one):
+                yield at
+                return
+
+
+def _extend(ws: list[str], text: str, pos: int, edges: list[int], most: int) -> list[bool]:
+    """Which of the words follow each other in the text from ``pos`` on; stops where more than ``most`` fail."""
     flags: list[bool] = []
-    i = 0
+    i = failed = 0
     while i < len(ws):
         w = ws[i]
         if text.startswith(w, pos):
@@ -109,18 +154,18 @@ def _extend(ws: list[str], text: str, pos: int) -> list[bool]:
             pos += len(w)
             i += 1
             continue
-        # Where the text goes on: up to three words changed or missing, or words put in between.
-        best = None
-        for skip in range(0, 4):
-            nxt = "".join(ws[i + skip : i + skip + 2])
-            if len(nxt) < 5:
-                nxt = "".join(ws[i + skip : i + skip + 3])
-            if len(nxt) < 4:
+        # Where most words follow for those skipped; then the nearest.
+        best, reach, first = None, pos + 14, bisect_left(edges, pos)
+        skips = min(most - failed + 1, len(ws) - i)
+        ahead = edges[first : first + skips + 1]
+        for skip in range(skips):
+            if best is not None and best[0][0] < skip - LEAST:
                 break
-            reach = pos + sum(map(len, ws[i : i + skip])) + 14 + 4 * skip
-            at = text.find(nxt, pos, reach + len(nxt))
-            if at >= 0 and (best is None or at - pos + 3 * skip < best[0]):
-                best = (at - pos + 3 * skip, skip, at)
+            for at in _places(ws, i, skip, text, pos, reach, ahead, edges):
+                key = (skip - _run(ws[i + skip :], text, at), at - pos + 3 * skip)
+                if best is None or key < best[0]:
+                    best = (key, skip, at)
+            reach += len(ws[i + skip]) + 4
         if best is None:
             break
         _, skip, at = best
@@ -128,9 +173,8 @@ def _extend(ws: list[str], text: str, pos: int) -> list[bool]:
             flags.append(True)
         else:
             flags += [False] * skip
+            failed += skip
         i, pos = i + skip, at
-        if sum(not f for f in flags[-LEAST:]) > 4:
-            break
     return flags
 
 
@@ -176,6 +220,8 @@ class Items:
         out: dict[int, int] = {}
         seen: set[tuple[int, int]] = set()
         back = ""
+        edges: list[int] = []
+        mirrored: list[int] = []
         for at, p in self.search.search(t):
             for k, j in self.search.patterns[p]:
                 ident, ws = self.items[k]
@@ -183,9 +229,12 @@ class Items:
                 if (k, start) in seen or (ident in out and out[ident] >= len(ws)):
                     continue
                 seen.add((k, start))
-                back = back or t[::-1]
-                right = _extend(ws[j:], t, at)
-                left = _extend(self.back[k][len(ws) - j :], back, len(t) - at)
+                if not back:
+                    back, edges = t[::-1], breaks(text)
+                    mirrored = [len(t) - e for e in reversed(edges)]
+                most = len(ws) // PER_ERROR
+                right = _extend(ws[j:], t, at, edges, most)
+                left = _extend(self.back[k][len(ws) - j :], back, len(t) - at, mirrored, most)
                 n = longest(left[::-1] + right)
                 if n >= LEAST:
                     out[ident] = max(n, out.get(ident, 0))

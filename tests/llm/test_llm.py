@@ -337,3 +337,24 @@ def test_blocks_of_the_list_rank_like_one(spark, tmp_path, monkeypatch):
     assert rows(queries.p6_found(spark, d)) == want
     monkeypatch.setattr(queries, "REFERENCE_BLOCK", 1)
     assert rows(queries.p6_found(spark, d)) == want
+
+
+LONG = ITEM[:-1].split() + "Beyond seven willows stood another gravel quay where masons counted barrels before winter closed every sluice.".split()
+
+
+@pytest.mark.parametrize("wrong", [(1, 10), (10,), (1,), (4, 10), (1, 7), (1, 2), (9, 10), (5, 6)])
+@pytest.mark.parametrize("start", [0, 4, 8])
+@pytest.mark.parametrize("missing", [False, True])
+def test_twelve_words_with_errors_near_the_ends(items, start, wrong, missing):
+    quoted = ITEM.split()[start : start + 12]
+    told = " ".join("" if missing and i in wrong else "otherwise" if i in wrong else w for i, w in enumerate(quoted))
+    assert items.found(f"Something else was said: {told}; nothing of it follows here") == {1: 12}
+    less = " ".join(told.split()[:-1]) if 10 not in wrong else " ".join(told.split()[1:])
+    assert items.found(f"Something else was said: {less}; nothing of it follows here") == {}
+
+
+def test_gap_as_long_as_the_errors_allowed():
+    block = leak.Items([(1, " ".join(LONG))])
+    tell = lambda ws: block.found("Before that " + " ".join(ws) + " came later")
+    assert tell(LONG[:10] + LONG[14:24]) == {1: 24} and tell(LONG[:10] + ["quite", "other", "terms", "here"] + LONG[14:24]) == {1: 24}
+    assert tell(LONG[:9] + LONG[13:22]) == {} and tell(LONG[:10] + LONG[15:24]) == {}
