@@ -2,8 +2,8 @@
 
 1. Leaf peeling by doubling: after k rounds of ``jump(v) = jump(jump(v))`` the
    image of the jump is what 2**k rounds of peeling leaves would leave.  What
-   never peels away are the cycles; nodes whose jump is always defined lead
-   into one.
+   never peels away are the cycles: the image once it no longer shrinks; nodes
+   whose jump is always defined lead into one.
 2. The remaining forest gets an Euler tour: a down and an up arc per edge, each
    arc linked to the next.  Siblings are linked in key order; siblings of a
    parent with very many children are linked block by block.
@@ -54,12 +54,13 @@ class Hierarchy:
 
     def _peel(self) -> tuple[DataFrame, DataFrame]:
         """(v leading into or on a cycle, v on a cycle)."""
+        image = lambda df: df.select("p").distinct().count()
         jump, left = self.edges, self.edges.count()
         while True:
             b = jump.select(F.col("v").alias("p"), F.col("p").alias("p2"))
             nxt = self.scratch.save(jump.join(b, "p").select("v", F.col("p2").alias("p")), "jump")
             now = nxt.count()
-            if now in (0, left):
+            if not now or now == left and image(nxt) == image(jump):
                 return nxt.select("v"), nxt.select(F.col("p").alias("v")).distinct()
             if jump is not self.edges:
                 self.scratch.drop(jump)

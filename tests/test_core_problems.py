@@ -179,6 +179,14 @@ def test_descendants_against_walking(spark, scratch, seed):
     assert Hierarchy(e.limit(0), scratch, tails=True).descendants().count() == 0
 
 
+@pytest.mark.parametrize("tail", [1, 3, 6, 21])
+def test_long_tails_are_not_on_the_circle(spark, scratch, tail):
+    edges = [("t", f"x{i}", f"x{i + 1}") for i in range(tail)] + [("t", f"x{tail}", "c"), ("t", "c", "d"), ("t", "d", "c"), ("t", "a", "b")]
+    e = spark.createDataFrame(edges, "line string, node string, parent string")
+    got = {x.node_id: x.in_cycle for x in Hierarchy(e, scratch).full().collect()}
+    assert got == {f"x{i}": False for i in range(tail + 1)} | {"a": False, "b": False, "c": True, "d": True}
+
+
 # ---- identifiers, rows in force
 
 
