@@ -20,9 +20,15 @@ _kept: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is set."""
+    """The cluster's checkpoint folder.
+
+    Where none is set, a temporary one in local mode; on a cluster no folder of
+    one machine is shared by all, so that is an error.
+    """
     path = spark.conf.get(_KEY, None) or spark.sparkContext.getConf().get(_KEY)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {_KEY} to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="geoweave-")
         spark.conf.set(_KEY, path)
     return path.rstrip("/")
