@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
 
 import pandas as pd
 
+# Letters and digits of every script.
+_WORD = re.compile(r"[^\W_]+")
 # Letters that have no decomposition.
 _LETTERS = str.maketrans({"ł": "l", "Ł": "L", "ø": "o", "Ø": "O", "đ": "d", "ß": "ss", "æ": "ae", "œ": "oe"})
 # Words around a name that are no part of it.
@@ -53,7 +54,7 @@ def reading(raw: str) -> tuple[list[str], bool, str]:
         old = s
         s = _AFTER.sub("", _BEFORE.sub("", s.strip()).strip())
     cut = s.endswith(".")
-    words = re.findall(r"[a-z0-9]+", s.replace("'", ""))
+    words = _WORD.findall(s.replace("'", ""))
     if " ".join(words) in _NOTHING:
         return [], False, tail.strip()
     if words and words[-1] in _SHORT:
@@ -67,7 +68,7 @@ def reading(raw: str) -> tuple[list[str], bool, str]:
 
 def spelling(name: str) -> str:
     """The form under which a reference name enters the trie."""
-    return "".join(re.findall(r"[a-z0-9]+", fold(name).replace("'", "")))
+    return "".join(_WORD.findall(fold(name).replace("'", "")))
 
 
 def allowed(n: int) -> int:
@@ -116,6 +117,16 @@ class Automaton:
         return self.ids[nxt]
 
 
+#: Automata by degree; their states do not depend on the names, so a task builds each once.
+_AUTOMATA: dict[int, Automaton] = {}
+
+
+def _automaton(k: int) -> Automaton:
+    if k not in _AUTOMATA:
+        _AUTOMATA[k] = Automaton(k)
+    return _AUTOMATA[k]
+
+
 class Trie:
     """Names as nested letter maps; entry lists at their ends."""
 
@@ -131,11 +142,10 @@ class Trie:
                     self.kids.append({})
                 at = nxt
             self.ends[at] = entries
-        self.automata: dict[int, Automaton] = {}
 
     def search(self, query: str, k: int) -> list[tuple[int, int]]:
         """All (distance, entry) within k edits."""
-        auto = self.automata.setdefault(k, Automaton(k))
+        auto = _automaton(k)
         n, found = len(query), []
         masks: dict[str, int] = {}
         for t, c in enumerate(query):
@@ -154,9 +164,9 @@ class Trie:
                     stack.append((child, i + 1, nxt))
         return found
 
-    def completions(self, query: str, k: int, more: int) -> list[tuple[int, int]]:
-        """All (distance of the query to a beginning, entry) whose end is at most ``more`` letters further on."""
-        auto = self.automata.setdefault(k, Automaton(k))
+    def completions(self, query: str, k: int) -> list[tuple[int, int]]:
+        """All (distance of the query to a beginning, entry), however far the entry goes on."""
+        auto = _automaton(k)
         n = len(query)
         masks: dict[str, int] = {}
         for t, c in enumerate(query):
@@ -168,13 +178,12 @@ class Trie:
             if abs(n - i) <= k:
                 cost = auto.states[state][0][n - i + k]
                 if cost <= k:
-                    below = [(node, 0)]
+                    below = [node]
                     while below:
-                        at, depth = below.pop()
+                        at = below.pop()
                         for e in self.ends.get(at, ()):
                             best[e] = min(cost, best.get(e, cost))
-                        if depth < more:
-                            below += [(x, depth + 1) for x in self.kids[at].values()]
+                        below += self.kids[at].values()
             for c, child in self.kids[node].items():
                 nxt = auto.go(state, masks.get(c, 0) >> i & auto.width)
                 if nxt >= 0:
@@ -214,7 +223,7 @@ class Matcher:
             found = {f for w in ways if allowed(len(w)) >= k for f in self.trie.search(w, k)}
             completed = not found and cut
             if completed:
-                found = {f for w in ways if len(w) >= 6 and allowed(len(w)) >= k for f in self.trie.completions(w, k, 6)}
+                found = {f for w in ways if len(w) >= 6 and allowed(len(w)) >= k for f in self.trie.completions(w, k)}
             if found:
                 low = min(d for d, _ in found)
                 out = (low, sorted({e for d, e in found if d == low}), codes, completed)
@@ -251,14 +260,21 @@ class Matcher:
         return self.best(raw, hint)[:2]
 
 
-def search_frames(entries: list, countries: list):
-    """mapInPandas function over (mention_id, raw, hint): adds geoname_id, distance, completed, elsewhere and population."""
-    columns = ["geoname_id", "distance", "completed", "elsewhere", "population"]
+def search_groups(countries: list):
+    """applyInPandas function over one chunk of mentions (mention_id, raw, hint) and one block of the list.
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = Matcher(entries, countries)
-        for df in frames:
-            got = pd.DataFrame([m.best(r, h) for r, h in zip(df["raw"], df["hint"])], columns=columns, index=df.index)
-            yield pd.concat([df[["mention_id"]], got], axis=1)
+    The groups of a task come by block, so the trie of a block is built once a task.
+    """
+    columns = ["geoname_id", "distance", "completed", "elsewhere", "population"]
+    held: dict[int, Matcher] = {}
+
+    def run(key: tuple, mentions: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
+        if key[0] not in held:
+            held.clear()
+            rows = zip(entries["geonameId"], entries["countryCode"], entries["population"], entries["names"])
+            held[key[0]] = Matcher([(int(i), c, int(p), list(n)) for i, c, p, n in rows], countries)
+        m = held[key[0]]
+        got = pd.DataFrame([m.best(r, h) for r, h in zip(mentions["raw"], mentions["hint"])], columns=columns, index=mentions.index)
+        return pd.concat([mentions[["mention_id"]], got], axis=1)
 
     return run

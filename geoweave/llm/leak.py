@@ -1,12 +1,13 @@
 """Evaluation passages inside a corpus: Wu-Manber search, then direct comparison.
 
-Texts are reduced to their letters and digits (case, accents, punctuation,
-spacing and markup do not count).  A passage of twelve or more words with at
-most one in six changed or missing holds a run of at least four unchanged
-words, so every run of four words of an item is a pattern; all patterns are
-searched at once with block shift tables and suffix-hash buckets.  Each hit is
-extended in both directions word by word, and the longest admissible stretch
-decides.
+Texts are reduced to the letters and digits of any script (case, accents,
+punctuation, spacing and markup do not count).  A passage of twelve or more
+words with at most one in six changed or missing holds a run of at least four
+unchanged words, so every run of four words of an item is a pattern; all
+patterns are searched at once with block shift tables and suffix-hash buckets.
+Each hit is extended in both directions by an alignment of words that allows as
+many changed, missing or put-in words in one place as the item may lose at all;
+the longest admissible stretch decides.
 """
 
 from __future__ import annotations
@@ -15,17 +16,24 @@ import html
 import re
 import unicodedata
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
+from itertools import combinations
 
 import pandas as pd
 
 #: Fewest words of a passage, words one error is allowed for, words of a pattern.
 LEAST, PER_ERROR, RUN = 12, 6, 4
+#: Patterns at which nearly every place of a text needs a comparison.
+DENSE = 10_000
 
 _LETTERS = str.maketrans({"ł": "l", "ø": "o", "đ": "d", "ß": "ss", "æ": "ae", "œ": "oe"})
-_TAG = re.compile(r"</?[a-zA-Z][^<>]{0,200}>")
+_TAG = re.compile(r"</?[a-zA-Z][^<>]*>")
 _BROKEN = re.compile("[Â-Å][\u0080-ÿŒœŠšŸŽžƒˆ˜–-›€™]")
-_OTHER = re.compile(r"[^a-z0-9]+")
+_OTHER = re.compile(r"[\W_]+")
+# Scripts written without blanks: every sign is a word of its own.
+_SIGN = "\u2e80-\u2fdf\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_PARTS = re.compile(rf"[{_SIGN}]|[^\W_{_SIGN}]+")
 
 
 def _mend(m: re.Match) -> str:
@@ -47,57 +55,78 @@ def plain(text: str) -> str:
     return text.lower()
 
 
-def letters(text: str) -> str:
-    return _OTHER.sub("", plain(text))
-
-
-def breaks(text: str) -> list[int]:
-    """Where words begin or end in ``letters(text)``, ascending, with 0 and its length."""
-    out = [0]
-    for w in _OTHER.split(plain(text)):
-        if w:
-            out.append(out[-1] + len(w))
-    return out
+def parts(text: str) -> list[str]:
+    """The unbroken runs of letters and digits; their letters follow each other without gaps."""
+    return _PARTS.findall(plain(text))
 
 
 def words(text: str) -> list[str]:
-    return [w for w in (_OTHER.sub("", t) for t in plain(text).split()) if w]
+    """What stands between blanks, reduced to letters; signs of scripts without blanks one by one."""
+    return [w for t in plain(text).split() for w in _PARTS.findall(_OTHER.sub("", t))]
 
 
-class WuManber:
-    """Occurrences of many patterns; all patterns have at least ``m`` letters."""
+class _Tables:
+    """Shift table and buckets of patterns that all have at least ``m`` letters."""
 
-    def __init__(self, patterns: dict[str, list], block: int = 5):
-        self.patterns = patterns
-        self.m = m = min(map(len, patterns), default=0)
-        self.b = b = min(block, m) or 1
+    def __init__(self, patterns: list[str], block: int):
+        self.m = m = min(map(len, patterns))
+        self.b = b = min(block, m)
         self.far = m - b + 1
         self.shift: dict[str, int] = {}
-        self.buckets: dict[str, dict[str, list[str]]] = {}
+        self.buckets: dict[str, tuple[str, ...]] = {}
         for p in patterns:
             for end in range(b, m + 1):
                 blk = p[end - b : end]
                 self.shift[blk] = min(self.shift.get(blk, self.far), m - end)
-            # Bucket by the block that ends the first m letters, then by the prefix.
-            self.buckets.setdefault(p[m - b : m], {}).setdefault(p[:b], []).append(p)
+            # Bucket by the block that ends the first m letters and by the prefix.
+            key = p[m - b : m] + p[:b]
+            self.buckets[key] = (*self.buckets.get(key, ()), p)
 
     def search(self, text: str) -> Iterator[tuple[int, str]]:
-        if not self.patterns:
-            return
         m, b, far = self.m, self.b, self.far
         shift, n, end = self.shift.get, len(text), m
         while end <= n:
-            s = shift(text[end - b : end], far)
+            blk = text[end - b : end]
+            s = shift(blk, far)
             if s:
                 end += s
                 continue
             at = end - m
-            for p in self.buckets.get(text[end - b : end], {}).get(text[at : at + b], ()):
+            for p in self.buckets.get(blk + text[at : at + b], ()):
                 if text.startswith(p, at):
                     yield at, p
             end += 1
 
 
+class WuManber:
+    """Occurrences of many patterns.
+
+    The shortest pattern bounds the steps, so patterns are searched in up to
+    three classes of length, cut where the expected work is least: a class costs
+    one look-up per step, and more the likelier a place is to need a comparison.
+    """
+
+    def __init__(self, patterns: dict[str, object], block: int = 5):
+        self.patterns = patterns
+        sizes = sorted(Counter(map(len, patterns)).items())
+
+        def work(ms: tuple[int, ...]) -> float:
+            held = [sum(n for size, n in sizes if m <= size < z) for m, z in zip(ms, (*ms[1:], sizes[-1][0] + 1))]
+            return sum((1 + 3 * min(1, n / DENSE)) / (m - min(block, m) + 1) for m, n in zip(ms, held))
+
+        lengths = [size for size, _ in sizes]
+        ways = [(lengths[0], *cut) for n in range(3) for cut in combinations(lengths[1:], n)] if sizes else [()]
+        self.cuts = min(ways, key=work) if sizes else ()
+        classes: list[list[str]] = [[] for _ in self.cuts]
+        for p in patterns:
+            classes[sum(len(p) >= m for m in self.cuts) - 1].append(p)
+        self.tables = [_Tables(c, block) for c in classes]
+
+    def search(self, text: str) -> Iterator[tuple[int, str]]:
+        for t in self.tables:
+            yield from t.search(text)
+
+
 def _near(a: str, b: str) -> bool:
     """Same length or one apart, and at most one letter different (misread letters)."""
     if abs(len(a) - len(b)) > 1 or len(a) < 5:
@@ -108,100 +137,69 @@ def _near(a: str, b: str) -> bool:
     return a[i + 1 :] == b[i + 1 :] or a[i:] == b[i + 1 :] or a[i + 1 :] == b[i:]
 
 
-def _run(ws: list[str], text: str, pos: int) -> int:
-    """How many of the words follow each other in the text from ``pos`` on; LEAST are enough."""
-    n = 0
-    for w in ws[:LEAST]:
-        if not text.startswith(w, pos):
-            break
-        pos += len(w)
-        n += 1
-    return n
-
-
-def _places(ws: list[str], i: int, skip: int, text: str, pos: int, reach: int, ahead: list[int], edges: list[int]) -> Iterator[int]:
-    """Where the text may go on after ``skip`` words changed or missing, or words put in between.
+def _extend(ws: list[str], text: str, pos: int, edges: list[int], most: int) -> dict[int, int]:
+    """Aligned words: index -> fewest words changed or missing before it, where that word stands unchanged.
 
-    The next two words together are sought some way on, at the end of a
-    quotation the next one alone: a short one only as a whole word, behind at
-    most as many words as were skipped and one more (``ahead``: where words begin).
+    ``ws[0]`` stands at ``pos``.  Words follow each other directly, wherever the
+    blanks are, or after a gap: then as whole words or with five letters.  A gap
+    costs the words passed over, or the words that stand in it where those are
+    more and longer.  A word of five letters with one misread counts as
+    unchanged inside, not at the end.
     """
-    one = ws[i + skip]
-    nxt = "".join(ws[i + skip : i + skip + 2])
-    if len(nxt) < 5:
-        nxt = "".join(ws[i + skip : i + skip + 3])
-    for anchor in (nxt, one):
-        if len(anchor) >= (4 if anchor is nxt else 5):
-            at = text.find(anchor, pos, reach + len(anchor))
-            if at >= 0:
-                yield at
-    for at in ahead[: skip + 2]:
-        if text.startswith(one, at):
-            z = bisect_left(edges, at + len(one))
-            if z < len(edges) and edges[z] == at + len(one):
-                yield at
-                return
-
-
-def _extend(ws: list[str], text: str, pos: int, edges: list[int], most: int) -> list[bool]:
-    """Which of the words follow each other in the text from ``pos`` on; stops where more than ``most`` fail."""
-    flags: list[bool] = []
-    i = failed = 0
-    while i < len(ws):
-        w = ws[i]
-        if text.startswith(w, pos):
-            flags.append(True)
-            pos += len(w)
-            i += 1
-            continue
-        # Where most words follow for those skipped; then the nearest.
-        best, reach, first = None, pos + 14, bisect_left(edges, pos)
-        skips = min(most - failed + 1, len(ws) - i)
-        ahead = edges[first : first + skips + 1]
-        for skip in range(skips):
-            if best is not None and best[0][0] < skip - LEAST:
-                break
-            for at in _places(ws, i, skip, text, pos, reach, ahead, edges):
-                key = (skip - _run(ws[i + skip :], text, at), at - pos + 3 * skip)
-                if best is None or key < best[0]:
-                    best = (key, skip, at)
-            reach += len(ws[i + skip]) + 4
-        if best is None:
-            break
-        _, skip, at = best
-        if skip == 1 and any(_near(w, text[pos:e]) for e in (at - 1, at, at + 1)):
-            flags.append(True)
-        else:
-            flags += [False] * skip
-            failed += skip
-        i, pos = i + skip, at
-    return flags
-
-
-def longest(flags: list[bool]) -> int:
-    """Words of the longest stretch that begins and ends unchanged, one error allowed per six."""
-    bad = [0]
-    for f in flags:
-        bad.append(bad[-1] + (not f))
-    best = 0
-    ok = [i for i, f in enumerate(flags) if f]
-    for a in ok:
-        for z in reversed(ok):
-            n = z - a + 1
-            if n <= best:
-                break
-            if (bad[z + 1] - bad[a]) * PER_ERROR <= n:
-                best = n
-                break
+    best: dict[int, int] = {}
+    states: list[dict[int, tuple[int, bool]]] = [{} for _ in ws]
+    states[0][pos + len(ws[0])] = (0, True)
+    last = len(edges) - 1
+
+    def reach(i: int, end: int, failed: int, whole: bool) -> None:
+        had = states[i].get(end)
+        if had is None or (failed, not whole) < (had[0], not had[1]):
+            states[i][end] = (failed, whole)
+
+    for i in range(len(ws)):
+        for end, (failed, whole) in states[i].items():
+            if whole:
+                best[i] = min(failed, best.get(i, failed))
+            k = i + 1
+            if k == len(ws):
+                continue
+            if text.startswith(ws[k], end):
+                reach(k, end + len(ws[k]), failed, True)
+                continue
+            for size in (len(ws[k]) - 1, len(ws[k]), len(ws[k]) + 1):
+                if _near(ws[k], text[end : end + size]):
+                    reach(k, end + size, failed, False)
+            first, room = bisect_left(edges, end), end
+            for skip in range(min(most - failed + 1, len(ws) - k)):
+                w = ws[k + skip]
+                limit = max(room, edges[min(last, first + most - failed)])
+                at = text.find(w, end, limit + len(w))
+                while at >= 0:
+                    z = at + len(w)
+                    if len(w) >= 5 or at == end or _edge(edges, at) and _edge(edges, z):
+                        cost = skip if at <= room else max(skip, bisect_left(edges, at) - first)
+                        if failed + cost <= most:
+                            reach(k + skip, z, failed + cost, True)
+                    at = text.find(w, at + 1, limit + len(w))
+                room += len(w) + 4
     return best
 
 
+def _edge(edges: list[int], at: int) -> bool:
+    i = bisect_left(edges, at)
+    return i < len(edges) and edges[i] == at
+
+
+def longest(left: dict[int, int], right: dict[int, int]) -> int:
+    """Words of the longest stretch around a hit that begins and ends unchanged, one error allowed per six."""
+    return max((n for a, f in left.items() for z, g in right.items() if (f + g) * PER_ERROR <= (n := a + z + 1)), default=0)
+
+
 class Items:
     """A block of evaluation items with their search tables."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.items = [(i, words(t)) for i, t in items if t]
-        self.back = [([w[::-1] for w in reversed(ws)]) for _, ws in self.items]
         patterns: dict[str, list[tuple[int, int]]] = {}
         for k, (_, ws) in enumerate(self.items):
             if len(ws) >= LEAST:
@@ -216,26 +214,35 @@ class Items:
         ones are never found; an item occurring several times counts once, with
         its longest passage; equal items are each found.
         """
-        t = letters(text)
+        pieces = parts(text)
+        t = "".join(pieces)
         out: dict[int, int] = {}
-        seen: set[tuple[int, int]] = set()
+        # Words of an item that an alignment already holds, by where they stand.
+        seen: set[tuple[int, int, int]] = set()
         back = ""
         edges: list[int] = []
         mirrored: list[int] = []
         for at, p in self.search.search(t):
             for k, j in self.search.patterns[p]:
                 ident, ws = self.items[k]
-                start = at - sum(map(len, ws[:j]))
-                if (k, start) in seen or (ident in out and out[ident] >= len(ws)):
+                if (k, j, at) in seen or out.get(ident, 0) >= len(ws):
                     continue
-                seen.add((k, start))
                 if not back:
-                    back, edges = t[::-1], breaks(text)
+                    back, edges = t[::-1], [0]
+                    for w in pieces:
+                        edges.append(edges[-1] + len(w))
                     mirrored = [len(t) - e for e in reversed(edges)]
+                # The hit's neighbours in an unbroken stretch give the same alignment.
+                pos = at
+                for x in range(j, len(ws)):
+                    if not t.startswith(ws[x], pos):
+                        break
+                    seen.add((k, x, pos))
+                    pos += len(ws[x])
                 most = len(ws) // PER_ERROR
                 right = _extend(ws[j:], t, at, edges, most)
-                left = _extend(self.back[k][len(ws) - j :], back, len(t) - at, mirrored, most)
-                n = longest(left[::-1] + right)
+                left = _extend([w[::-1] for w in reversed(ws[: j + 1])], back, len(t) - at - len(ws[j]), mirrored, most)
+                n = longest(left, right)
                 if n >= LEAST:
                     out[ident] = max(n, out.get(ident, 0))
         return out

@@ -11,10 +11,10 @@ from geoweave.llm.components import components, star_edges
 from geoweave.plans import base
 from geoweave.runtime import Scratch, in_force, table
 
-#: Entries of the canonical list that one task holds at a time.
-REFERENCE_BLOCK = 200_000
-#: Evaluation items searched at once.
-ITEM_BLOCK = 5_000
+#: Entries of the canonical list and mentions that one task holds at a time.
+REFERENCE_BLOCK, MENTION_CHUNK = 20_000, 2_000
+#: Evaluation items searched in one pass over the documents (about 8 kB of tables each).
+ITEM_BLOCK = 20_000
 #: A rank file of a public tokenizer; the driver reads it and sends it along.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Key of the surrogates; a deployment sets its own.
@@ -74,24 +74,29 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _p6(spark: SparkSession, d: str) -> DataFrame:
-    m = table(spark, d, "placemention").where("mentionId is not null")
-    m = m.groupBy(F.col("mentionId").alias("mention_id")).agg(F.min(F.struct(F.col("rawName").alias("raw"), F.col("countryHint").alias("hint"))).alias("m")).select("mention_id", "m.raw", "m.hint")
-    names = F.array_compact(F.concat(F.array("name"), F.coalesce("alternateNames", F.array().cast("array<string>")), F.coalesce("wikidataAlternateNames", F.array().cast("array<string>"))))
-    ref = table(spark, d, "placeref").select("geonameId", "countryCode", "population", names.alias("names"))
+    """(mention_id, geoname_id, distance): every chunk of mentions meets every block of the list.
+
+    Neither side comes to the driver, no task holds more than a block and a chunk.
+    """
+    raw = table(spark, d, "placemention").where("mentionId is not null")
+    m = raw.groupBy(F.col("mentionId").alias("mention_id")).agg(F.min(F.struct(F.col("rawName").alias("raw"), F.col("countryHint").alias("hint"))).alias("m")).select("mention_id", "m.raw", "m.hint")
+    none = F.array().cast("array<string>")
+    names = F.array_compact(F.concat(F.array("name"), F.coalesce("alternateNames", none), F.coalesce("wikidataAlternateNames", none)))
+    ref = table(spark, d, "placeref").where("geonameId is not null").select("geonameId", "countryCode", F.coalesce("population", F.lit(0)).cast("long").alias("population"), names.alias("names"))
     countries = [tuple(r) for r in table(spark, d, "country").select("code", "name").collect()]
-    n = ref.count()
-    blocks = max(1, -(-n // REFERENCE_BLOCK))
-    out = None
-    for b in range(blocks):
-        part = ref if blocks == 1 else ref.where(F.pmod(F.xxhash64("geonameId"), F.lit(blocks)) == b)
-        entries = [(r[0], r[1], r[2] or 0, list(r[3])) for r in part.collect()]
-        got = m.mapInPandas(canonical.search_frames(entries, countries), "mention_id long, geoname_id long, distance int, completed boolean, elsewhere boolean, population long")
-        out = got if out is None else out.unionByName(got)
-    if blocks > 1:
-        # The whole key by which one block ranks its entries.
-        rank = F.struct(F.when(F.col("distance") < 0, 99).otherwise(F.col("distance")), "completed", "elsewhere", -F.col("population"), "geoname_id")
-        out = out.groupBy("mention_id").agg(F.min_by(F.struct("geoname_id", "distance"), rank).alias("x")).select("mention_id", "x.*")
-    return out
+    blocks, chunks = max(1, -(-ref.count() // REFERENCE_BLOCK)), max(1, -(-raw.count() // MENTION_CHUNK))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    part_of = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    spread = lambda df: df.repartition(parts, "block", "chunk").groupBy("block", "chunk")
+    left = m.withColumn("chunk", part_of("mention_id", chunks)).withColumn("block", every(blocks))
+    right = ref.withColumn("block", part_of("geonameId", blocks)).withColumn("chunk", every(chunks))
+    out = spread(left).cogroup(spread(right)).applyInPandas(canonical.search_groups(countries), "mention_id long, geoname_id long, distance int, completed boolean, elsewhere boolean, population long")
+    if blocks == 1:
+        return out.select("mention_id", "geoname_id", "distance")
+    # The whole key by which one block ranks its entries.
+    rank = F.struct(F.when(F.col("distance") < 0, 99).otherwise(F.col("distance")), "completed", "elsewhere", -F.col("population"), "geoname_id")
+    return out.groupBy("mention_id").agg(F.min_by(F.struct("geoname_id", "distance"), rank).alias("x")).select("mention_id", "x.*")
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

@@ -358,3 +358,68 @@ def test_gap_as_long_as_the_errors_allowed():
     tell = lambda ws: block.found("Before that " + " ".join(ws) + " came later")
     assert tell(LONG[:10] + LONG[14:24]) == {1: 24} and tell(LONG[:10] + ["quite", "other", "terms", "here"] + LONG[14:24]) == {1: 24}
     assert tell(LONG[:9] + LONG[13:22]) == {} and tell(LONG[:10] + LONG[15:24]) == {}
+
+
+def aligned(ws, text):
+    """Longest passage by trying every chain of equal words; a gap costs the larger of what is passed over on either side."""
+    best = 0
+    at = {(i, q) for i, w in enumerate(ws) for q, t in enumerate(text) if w == t}
+    for i, q in sorted(at):
+        cost = {(i, q): 0}
+        for k, r in sorted(at):
+            if k > i and r > q:
+                ways = [c + max(k - a - 1, r - b - 1) for (a, b), c in cost.items() if a < k and b < r]
+                if ways:
+                    cost[k, r] = min(ways)
+        best = max([best, *(k - i + 1 for (k, _), c in cost.items() if 6 * c <= k - i + 1)])
+    return best if best >= leak.LEAST else 0
+
+
+@pytest.mark.parametrize("kind", ["changed", "missing", "between"])
+def test_leaks_against_every_alignment(kind):
+    r = random.Random(kind)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    hits = 0
+    for _ in range(120):
+        ws = [word() for _ in range(r.randrange(20, 40))]
+        a = r.randrange(0, len(ws) - 12)
+        told = ws[a : a + r.randrange(12, 36)]
+        n, at = r.randrange(1, 6), r.randrange(1, len(told) - 1)
+        told[at : at + (0 if kind == "between" else n)] = [] if kind == "missing" else [word() for _ in range(n)]
+        text = [word(), word(), *told, word(), word()]
+        want = aligned(ws, text)
+        hits += want > 0
+        assert leak.Items([(1, " ".join(ws))]).found(" ".join(text)).get(1, 0) == want, (ws, text)
+    assert 20 < hits < 120
+
+
+def test_leaks_in_other_scripts():
+    ru = "Старая мельница у тихого пруда помнит каждого мельника который чинил её тяжёлые деревянные колёса весной"
+    zh = "河邊的舊磨坊記得每一位修理過木輪的工匠"
+    block = leak.Items([(1, ru), (2, zh)])
+    assert block.found(f"Раньше: <b>{ru.upper()}</b>!") == {1: 15} and block.found(ru.replace("тихого", "старого")) == {1: 15} and block.found("前言。" + zh + "。後記") == {2: 19}
+    assert block.found(zh[:11]) == {} and block.found(" ".join(ru.split()[:11])) == {}
+
+
+def test_long_tags_and_short_patterns():
+    tag = "<a href='" + "x" * 1000 + "'>"
+    assert set(leak.Items([(1, ITEM), (2, "a b c d e f g h i j k l m")]).found(ITEM.replace("plain ", f"plain {tag}"))) == {1}
+    many = {f"{i:020d}": None for i in range(20_000)}
+    search = leak.WuManber(many | {"abcd": None})
+    assert search.cuts == (4, 20) and set(search.search("xabcdx" + "0" * 19 + "7x")) == {(1, "abcd"), (6, "0" * 19 + "7")}
+
+
+def test_canonical_list_in_other_scripts_and_chunks(spark, tmp_path, monkeypatch):
+    from geoweave.llm import queries
+
+    d = str(tmp_path)
+    ref = [(1, "Москва", ["Moskwa"], None, "RU", 5), (2, "東京都", None, None, "JP", 9), (3, "Μόσχα Χωριό", None, None, "GR", None), (4, None, None, None, None, None), (None, "Duvelgate", None, None, None, 1)]
+    spark.createDataFrame(ref, "geonameId long, name string, alternateNames array<string>, wikidataAlternateNames array<string>, countryCode string, population long").write.parquet(f"{d}/placeref.parquet")
+    spark.createDataFrame([("RU", "Россия", "Q1")], "code string, name string, qid string").write.parquet(f"{d}/country.parquet")
+    typed = ["МОСКВА", "Масква", "東京都", "大阪", "μοσχα χωριο", "Moskwa, Рос", "Duvelgate"]
+    spark.createDataFrame([(i, t, None) for i, t in enumerate(typed)], "mentionId long, rawName string, countryHint string").write.parquet(f"{d}/placemention.parquet")
+    want = list(enumerate([1, 1, 2, 0, 3, 1, 0]))
+    for block, chunk in ((20_000, 2_000), (1, 1), (2, 3)):
+        monkeypatch.setattr(queries, "REFERENCE_BLOCK", block)
+        monkeypatch.setattr(queries, "MENTION_CHUNK", chunk)
+        assert rows(queries.p6_found(spark, d)) == want
