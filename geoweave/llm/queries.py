@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoweave.functions import geo, ids
@@ -17,8 +19,10 @@ REFERENCE_BLOCK, MENTION_CHUNK = 20_000, 2_000
 ITEM_BLOCK = 20_000
 #: A rank file of a public tokenizer; the driver reads it and sends it along.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-#: Key of the surrogates; a deployment sets its own.
-SURROGATE_KEY = "geoweave"
+#: Session setting that holds the secret key of the surrogates; without one each run draws its own.
+SURROGATE_KEY = "spark.geoweave.surrogateKey"
+#: Names sent to the executors as one set; with more, the documents' words meet the names in a join.
+LEXICON_MOST = 1_000_000
 
 
 def p1_matches(spark: SparkSession, d: str) -> DataFrame:
@@ -147,23 +151,38 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(chosen, t)
 
 
-def _name_lexicon(spark: SparkSession, d: str) -> tuple[list[str], list[str]]:
-    """Given and middle names of the person table, by their share of its rows.
+def _given(name: Column) -> Column:
+    """Words of a name before the family name."""
+    own = F.when(name.contains(","), F.substring_index(name, ",", -1)).otherwise(F.regexp_replace(name, r"\s+\S+\s*$", ""))
+    return F.split(F.trim(own), r"\s+")
+
+
+def _lexicon(spark: SparkSession, d: str) -> DataFrame:
+    """(first, w): every given and middle name of the person table, distinct, spelled as in a text.
 
-    At most 1 / LEXICON_SHARE tokens per name position pass, whatever the size.
+    Words that stand as family name more than twenty times as often as first are no given name.
     """
     p = table(spark, d, "historicalperson").where("name is not null").select("name")
-    words = F.split(F.trim(F.when(F.col("name").contains(","), F.substring_index("name", ",", -1)).otherwise(F.regexp_replace("name", r"\s+\S+$", ""))), r"\s+")
-    tok = p.select(F.posexplode(words).alias("pos", "w")).select((F.col("pos") == 0).alias("first"), F.initcap("w").alias("w"))
-    tok = tok.where(~F.col("w").contains(".") & (F.length("w") > 2) & ~F.lower("w").isin("van", "von", "de", "du"))
-    n = p.agg(F.count(F.lit(1)).alias("n"))
-    rows = tok.groupBy("first", "w").agg(F.count(F.lit(1)).alias("c")).join(F.broadcast(n)).where(F.col("c") >= F.greatest(F.lit(2), F.lit(pii.LEXICON_SHARE) * F.col("n"))).select("first", "w").collect()
-    return sorted(r.w for r in rows if r.first), sorted(r.w for r in rows if not r.first)
+    family = F.trim(F.when(F.col("name").contains(","), F.substring_index("name", ",", 1)).otherwise(F.regexp_extract("name", r"(\S+)\s*$", 1)))
+    tok = p.select(F.posexplode(F.concat(F.array(family), _given(F.col("name")))).alias("pos", "w"))
+    tok = tok.withColumn("w", F.when(F.col("w") == F.upper("w"), F.initcap("w")).otherwise(F.col("w")))
+    tok = tok.where(F.col("w").rlike(r"^\p{Lu}[\p{L}\p{M}'’-]*[\p{L}\p{M}]$") & ~F.lower("w").isin("van", "von", "de", "du"))
+    n = tok.groupBy("w").agg(*[F.count_if(c).alias(a) for c, a in ((F.col("pos") == 0, "family"), (F.col("pos") == 1, "given"), (F.col("pos") > 1, "middle"))])
+    kinds = F.array(F.when((F.col("given") > 0) & (F.col("given") * 20 >= F.col("family")), True), F.when(F.col("middle") > 0, False))
+    return n.select(F.explode(F.array_compact(kinds)).alias("first"), "w")
 
 
 def _entities(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text").where("text is not null")
-    return docs.mapInPandas(pii.find_frames(*_name_lexicon(spark, d)), "doc_id long, start int, stop int, kind string, found_text string, entity string")
+    schema = "doc_id long, start int, stop int, kind string, found_text string, entity string"
+    lex = Scratch(spark, "p9names").save(_lexicon(spark, d), "names")
+    if lex.count() <= LEXICON_MOST:
+        rows = lex.collect()
+        return docs.mapInPandas(pii.find_frames([r.w for r in rows if r.first], [r.w for r in rows if not r.first]), schema)
+    words = docs.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(\p{Lu}[\p{L}\p{M}'’-]*[\p{L}\p{M}])"), F.lit(1)))).alias("t"))
+    met = words.withColumn("w", F.when(F.col("t") == F.upper("t"), F.initcap("t")).otherwise(F.col("t"))).join(lex, "w")
+    own = met.groupBy("doc_id").agg(F.collect_set(F.when(F.col("first"), F.col("t"))).alias("given"), F.collect_set(F.when(~F.col("first"), F.col("t"))).alias("middle"))
+    return docs.join(own, "doc_id", "left").mapInPandas(pii.find_frames(None, None), schema)
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
@@ -171,15 +190,27 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return _entities(spark, d).select("doc_id", "kind", "found_text").distinct()
 
 
-def _surrogates(hits: DataFrame, scratch: Scratch) -> DataFrame:
+def _sexes(spark: SparkSession, d: str) -> DataFrame:
+    """(given, sex): given names that nine in ten of the known mothers or fathers who bear them agree on."""
+    p = in_force(table(spark, d, "historicalperson").withColumn("personId", ids.person_id(F.col("personId"))), "personId", ["name", "birthEvent"])
+    parent = lambda field, sex: p.select(ids.person_id(F.col(f"birthEvent.{field}")).alias("personId"), F.lit(sex).alias("sex")).where("personId is not null").distinct()
+    known = parent("motherId", "f").unionByName(parent("fatherId", "m")).join(p.select("personId", F.lower(F.get(_given(F.col("name")), F.lit(0))).alias("given")), "personId")
+    n = known.where("given is not null").groupBy("given").agg(F.count_if(F.col("sex") == "f").alias("f"), F.count(F.lit(1)).alias("n"))
+    return n.select("given", F.when(F.col("f") >= 0.9 * F.col("n"), "f").when(F.col("f") <= 0.1 * F.col("n"), "m").alias("sex")).where("sex is not null")
+
+
+def _surrogates(hits: DataFrame, sexes: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     """(kind, entity, core): dressed in the formats an entity is found in, no core gives what another entity gets or a real one.
 
     Compared is the canonical form of what is written.  Where two entities drew
-    the same, or one drew a real entity, all but the first draw again until none collide.
+    the same, or one drew a real entity, all but the first draw again until none
+    collide; the space of surrogates grows with the attempts.
     """
-    forms = scratch.save(hits.select("kind", "entity", F.col("found_text").alias("found")).distinct(), "forms")
+    forms = hits.select("kind", "entity", F.col("found_text").alias("found")).distinct()
+    own = hits.where("kind = 'name'").select("kind", "entity").distinct().withColumn("given", F.substring_index("entity", " ", 1)).join(sexes, "given").select("kind", "entity", "sex")
+    forms = scratch.save(forms.join(own, ["kind", "entity"], "left"), "forms")
     known = forms.select("kind", F.col("entity").alias("shown")).distinct()
-    draw = lambda df: df.mapInPandas(pii.draw_frames(SURROGATE_KEY), "kind string, entity string, found string, attempt int, core string, shown string")
+    draw = lambda df: df.mapInPandas(pii.draw_frames(key), "kind string, entity string, sex string, found string, attempt int, core string, shown string")
     cur = scratch.save(draw(forms.withColumn("attempt", F.lit(0))), "draw")
     while True:
         firsts = cur.groupBy("kind", "shown").agg(F.min("entity").alias("first"), F.max("entity").alias("last")).where("first <> last").drop("last")
@@ -188,18 +219,20 @@ def _surrogates(hits: DataFrame, scratch: Scratch) -> DataFrame:
         again = scratch.save(bad.unionByName(real).distinct(), "again")
         if again.isEmpty():
             return cur.select("kind", "entity", "core").distinct()
-        redo = draw(cur.join(again, ["kind", "entity"], "left_semi").select("kind", "entity", "found", (F.col("attempt") + 1).cast("int").alias("attempt")))
+        redo = draw(cur.join(again, ["kind", "entity"], "left_semi").select("kind", "entity", "sex", "found", (F.col("attempt") + 1).cast("int").alias("attempt")))
         cur = scratch.save(cur.join(again, ["kind", "entity"], "left_anti").unionByName(redo), "draw")
 
 
 def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
     """Every document with typed placeholders (tagged) and with keyed surrogates (surrogate).
 
-    Surrogates are drawn per distinct entity over all documents.
+    Surrogates are drawn per distinct entity over all documents.  Their key is
+    the session's secret; where it sets none, a random one serves this run only.
     """
     scratch = Scratch(spark, "p9")
+    key = spark.conf.get(SURROGATE_KEY, None) or secrets.token_hex(32)
     hits = scratch.save(_entities(spark, d), "hits")
-    placed = hits.join(_surrogates(hits, scratch), ["kind", "entity"])
+    placed = hits.join(_surrogates(hits, _sexes(spark, d), key, scratch), ["kind", "entity"])
     lists = placed.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop", "kind", "entity", "core")).alias("hits"))
     docs = table(spark, d, "documents").select("doc_id", "text")
     return docs.join(lists, "doc_id", "left").mapInPandas(pii.replace_frames, "doc_id long, tagged string, surrogate string")
