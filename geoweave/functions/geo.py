@@ -11,7 +11,7 @@ EARTH_KM = 6371.0
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance in km; null if any coordinate is null."""
     a = _hav(lat1, lon1, lat2, lon2)
-    return F.lit(2 * EARTH_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
+    return F.lit(2 * EARTH_KM) * F.asin(F.sqrt(F.when(a > 1, F.lit(1.0)).otherwise(a)))
 
 
 def _hav(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
