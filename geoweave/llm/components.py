@@ -23,6 +23,11 @@ def _join(left: DataFrame, right: DataFrame, key: str, rows: int) -> DataFrame:
     return left.join(right, key) if rows <= PLAIN else join_skewed(left, right, key)
 
 
+def unique_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """As ``_join``, counting the left side itself."""
+    return _join(left, right, key, left.count())
+
+
 def star_edges(members: DataFrame, scratch: Scratch) -> DataFrame:
     """Edges (a, b) that join all vertices sharing a key to the key's smallest vertex.
 

@@ -1,18 +1,20 @@
 """Matching places across two sources that share no dependable identifier.
 
 1. Every name and alias of either source becomes a fixed bit vector of its word
-   q-grams (120 bits in 12 chunks of 10).
-2. Multi-index Hamming hashing: vectors at most 11 bits apart agree in at least
-   one of the 12 chunks, so an equi-join on (spot cell, chunk number, chunk
+   q-grams (117 bits in 13 chunks of 9).
+2. Multi-index Hamming hashing: vectors at most 12 bits apart agree in at least
+   one of the 13 chunks, so an equi-join on (spot cell, chunk number, chunk
    value) finds every close pair exactly; a pair is kept only at its first
    common chunk.  The spot cell is a second index: each vector of the larger
    source has one cell, each of the other the four cells its circle can meet.
+   A cell that holds very many vectors is cut into blocks on either side.
 3. Field-weighted Dice scores of name, spot, sort and country are calibrated
    against stored identifiers, noisy as they are, by isotonic regression.
-4. An exact check on spelling, sort and distance decides.
+4. A pair needs a calibrated confidence of ``ACCEPT`` and has to pass an exact
+   check on spelling, sort and distance.
 
-Records without a usable position can only be compared along a stored
-identifier; such a pair has to pass the same checks of name and sort.
+Where a record has no usable position, its spot cell is the pair of records
+that a stored identifier names; all other steps are the same.
 """
 
 from __future__ import annotations
@@ -22,10 +24,17 @@ from pyspark.sql import functions as F
 
 from geoweave.functions import geo, ids
 from geoweave.functions.ids import let
+from geoweave.llm.components import unique_join
 from geoweave.runtime import Scratch, fold
 
 #: Chunks of a vector, bits of a chunk, bits two vectors may differ in (one less than the chunks).
-CHUNKS, BITS, APART = 12, 10, 11
+CHUNKS, BITS, APART = 13, 9, 12
+#: Chunks that a long holds.
+_PER = 7
+#: Least calibrated confidence of a match.
+ACCEPT = 0.2
+#: Vectors of one side of a cell that one task compares at most.
+BLOCK = 10_000
 #: Two records of one thing lie at most this far apart; less where the spelling differs.
 SPOT_KM, NEAR_KM, CLOSE_KM = 3.5, 2.5, 1.5
 #: Largest share of letters in which two spellings of one name differ.
@@ -70,8 +79,8 @@ def gram_bits(toks: Column) -> Column:
 
 
 def packed(bits: Column, k: int) -> Column:
-    """The vector's half k: six chunks of 10 bits in a long."""
-    half = CHUNKS // 2 * BITS
+    """Long k of the vector: its chunks 7 k to 7 k + 6."""
+    half = _PER * BITS
     here = F.filter(bits, lambda x: (x >= half * k) & (x < half * k + half))
     return F.aggregate(here, F.lit(0).cast("long"), lambda a, x: a + F.call_function("shiftleft", F.lit(1).cast("long"), (x - half * k).cast("int")))
 
@@ -124,32 +133,37 @@ def met_cells(lat: Column, lon: Column) -> Column:
 
 
 def _chunk(v: list[Column], c: int) -> Column:
-    return F.shiftright(v[c // (CHUNKS // 2)], BITS * (c % (CHUNKS // 2))).bitwiseAND(F.lit((1 << BITS) - 1))
+    return F.shiftright(v[c // _PER], BITS * (c % _PER)).bitwiseAND(F.lit((1 << BITS) - 1))
 
 
 def _buckets(df: DataFrame, p: str) -> DataFrame:
-    """One narrow row per vector, cell and chunk: bucket key, chunk number, row number, vector."""
+    """One narrow row per vector, cell, block and chunk: bucket key, chunk number, row number, vector."""
     v = [F.col("v0"), F.col("v1")]
-    df = df.select("row", "v0", "v1", "cell", F.posexplode(F.array(*[_chunk(v, c).cast("int") for c in range(CHUNKS)])).alias("chunk", "value"))
-    return df.select(F.xxhash64("cell", "chunk", "value").alias("bucket"), F.col("chunk").cast("byte").alias(f"{p}chunk"), *[F.col(c).alias(f"{p}{c}") for c in ("row", "v0", "v1")])
+    df = df.select("row", "v0", "v1", "cell", "lblock", "rblock", F.posexplode(F.array(*[_chunk(v, c).cast("int") for c in range(CHUNKS)])).alias("chunk", "value"))
+    return df.select(F.xxhash64("cell", "lblock", "rblock", "chunk", "value").alias("bucket"), F.col("chunk").cast("byte").alias(f"{p}chunk"), *[F.col(c).alias(f"{p}{c}") for c in ("row", "v0", "v1")])
 
 
 def close_pairs(left: DataFrame, right: DataFrame, scratch: Scratch) -> DataFrame:
     """(lnid, rnid, km, dice): name vectors at most APART bits and spots at most SPOT_KM apart.
 
-    Both sides have nid, v0, v1, lat, lon; the right may repeat a nid with
-    several positions.  Exact: no pair within both limits is missed.  Bucket
-    rows carry only the vector and a row number; spots are looked up for the
-    pairs whose vectors are close.
+    Both sides have nid, v0, v1, lat, lon and cells; the right may repeat a nid
+    with several positions.  Pairs without positions have km null and rest on
+    their cell alone.  Exact: no pair within both limits and with a common cell
+    is missed.  Bucket rows carry only the vector and a row number; spots are
+    looked up for the pairs whose vectors are close.
     """
     cols = ["nid", "v0", "v1", "lat", "lon"]
-    l = scratch.save(left.select(*cols).withColumn("row", F.monotonically_increasing_id()), "left")
-    r = scratch.save(right.select(*cols).withColumn("row", F.monotonically_increasing_id()), "right")
-    lc = l.select("row", "v0", "v1", own_cell(F.col("lat"), F.col("lon")).alias("cell"))
-    rc = scratch.save(r.select("row", "v0", "v1", F.explode(met_cells(F.col("lat"), F.col("lon"))).alias("cell")), "cells")
-    # Vectors in cells that the other source does not reach have no partner.
-    a = _buckets(lc.join(rc.select("cell").distinct(), "cell", "left_semi"), "l")
-    b = _buckets(rc.join(lc.select("cell").distinct(), "cell", "left_semi"), "r")
+    l = scratch.save(left.select(*cols, "cells").withColumn("row", F.monotonically_increasing_id()), "left")
+    r = scratch.save(right.select(*cols, "cells").withColumn("row", F.monotonically_increasing_id()), "right")
+    lc = l.select("row", "v0", "v1", F.explode("cells").alias("cell"))
+    rc = scratch.save(r.select("row", "v0", "v1", F.explode("cells").alias("cell")), "cells")
+    # Cells that both sides reach, with the blocks that either side is cut into.
+    blocks = lambda df, to: df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(to))
+    met = scratch.save(blocks(lc, "lblocks").join(blocks(rc, "rblocks"), "cell"), "met")
+    mine = lambda n: F.pmod(F.xxhash64("row"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    a = _buckets(unique_join(lc, met, "cell").withColumn("lblock", mine("lblocks")).withColumn("rblock", every("rblocks")), "l")
+    b = _buckets(unique_join(rc, met, "cell").withColumn("rblock", mine("rblocks")).withColumn("lblock", every("lblocks")), "r")
     m = a.join(b, "bucket").where(F.col("lchunk") == F.col("rchunk"))
     x = [F.col(f"lv{k}").bitwiseXOR(F.col(f"rv{k}")) for k in range(2)]
     first = F.lit(None).cast("int")
@@ -163,7 +177,7 @@ def close_pairs(left: DataFrame, right: DataFrame, scratch: Scratch) -> DataFram
     size = ones(lambda k: F.bit_count(F.col(f"lv{k}")) + F.bit_count(F.col(f"rv{k}")))
     km = geo.haversine_km(F.col("llat"), F.col("llon"), F.col("rlat"), F.col("rlon"))
     m = m.select("lnid", "rnid", km.alias("km"), F.coalesce(F.try_divide(2.0 * both, size), F.lit(0.0)).alias("dice"))
-    return m.where(F.col("km") <= SPOT_KM).groupBy("lnid", "rnid").agg(F.min("km").alias("km"), F.max("dice").alias("dice"))
+    return m.where(F.col("km").isNull() | (F.col("km") <= SPOT_KM)).groupBy("lnid", "rnid").agg(F.min("km").alias("km"), F.max("dice").alias("dice"))
 
 
 def _sorts(left_words: Column, right_words: Column) -> Column:
@@ -195,12 +209,16 @@ def match(places: DataFrame, others: DataFrame, countries: DataFrame, scratch: S
     ok = lambda la, lo: F.coalesce(geo.valid_position(la, lo), F.lit(False))
     both = F.array_compact(F.array(F.when(ok(F.col("lat"), F.col("lon")), right), F.when(ok(F.col("lon"), F.col("lat")), swapped)))
     opos = o.select("id", F.inline(both))
-    near = close_pairs(pn.join(ppos, "id"), on.join(opos, "id"), scratch)
     # Where a position is missing, only a stored identifier can lead to the other record.
     by_id = o.select(F.col("id").alias("qid"), F.col("place_id").alias("gid")).where("gid is not null").unionByName(p.select(F.col("other_id").alias("qid"), F.col("id").alias("gid")).where("qid is not null")).distinct()
-    spotless = p.select(F.col("id").alias("gid"), F.col("pos").isNull().alias("pm")).join(by_id, "gid").join(o.select(F.col("id").alias("qid"), (F.size(both) == 0).alias("om")), "qid").where("pm or om").select("gid", "qid")
-    led = spotless.join(pn.select(F.col("id").alias("gid"), F.col("nid").alias("lnid")), "gid").join(on.select(F.col("id").alias("qid"), F.col("nid").alias("rnid")), "qid").select("lnid", "rnid", F.lit(None).cast("double").alias("km"), F.lit(None).cast("double").alias("dice"))
-    pair = scratch.save(near.unionByName(led), "close")
+    led = unique_join(by_id, p.select(F.col("id").alias("gid"), F.col("pos").isNull().alias("pm")), "gid")
+    led = unique_join(led, o.select(F.col("id").alias("qid"), (F.size(both) == 0).alias("om")), "qid").where("pm or om")
+    led = scratch.save(led.select("gid", "qid", F.array(F.xxhash64(F.lit("id"), "gid", "qid")).alias("cells"), *[F.lit(None).cast("double").alias(c) for c in ("lat", "lon")]), "led")
+    named = lambda df, names, key: names.join(df.withColumnRenamed(key, "id"), "id")
+    cols = ["nid", "v0", "v1", "lat", "lon", "cells"]
+    left = pn.join(ppos.withColumn("cells", F.array(own_cell(F.col("lat"), F.col("lon")))), "id").select(*cols).unionByName(named(led, pn, "gid").select(*cols))
+    right = on.join(opos.withColumn("cells", met_cells(F.col("lat"), F.col("lon"))), "id").select(*cols).unionByName(named(led, on, "qid").select(*cols))
+    pair = scratch.save(close_pairs(left, right, scratch), "close")
     side = lambda df, s: df.select(*[F.col(c).alias(f"{s}{c}") for c in ("nid", "id", "flat", "sorted", "kindwords")])
     pair = pair.join(side(pn, "l"), "lnid").join(side(on, "r"), "rnid").where((F.col("lkindwords") == F.col("rkindwords")) | (F.col("lkindwords") == "") | (F.col("rkindwords") == ""))
     lev = F.least(
@@ -211,7 +229,7 @@ def match(places: DataFrame, others: DataFrame, countries: DataFrame, scratch: S
     pair = pair.join(p.select(F.col("id").alias("lid"), "code", "class", "country"), "lid").join(o.select(F.col("id").alias("rid"), "label", "country_qid", "place_id"), "rid")
     pair = pair.where(_sorts(F.col("lkindwords"), F.col("rkindwords")))
     best = pair.groupBy("lid", "rid").agg(
-        F.min("km").alias("km"), F.min("spelling").alias("spelling"), F.max(F.coalesce("dice", 1 - F.col("spelling"))).alias("dice"),
+        F.min("km").alias("km"), F.min("spelling").alias("spelling"), F.max("dice").alias("dice"),
         F.max("country").alias("country"), F.max("country_qid").alias("country_qid"), F.max("place_id").alias("place_id"),
     )
     best = best.join(countries.select("country_qid", F.col("code").alias("ccode")).distinct(), "country_qid", "left")
@@ -219,9 +237,10 @@ def match(places: DataFrame, others: DataFrame, countries: DataFrame, scratch: S
     score = 0.6 * F.col("dice") + 0.3 * F.coalesce(F.exp(-F.col("km") / 2), F.lit(0.5)) + 0.1 * same
     best = scratch.save(best.withColumn("score", score), "scored")
     limit = F.when(F.col("spelling") == 0, SPOT_KM).when(F.col("spelling") <= SPELLING_NEAR, NEAR_KM).otherwise(CLOSE_KM)
-    passed = best.where(F.col("km").isNull() | (F.col("km") <= limit))
-    one = passed.groupBy("rid").agg(F.max_by(F.struct("lid", "score", "km", "spelling"), F.struct("score", -F.col("lid"))).alias("b")).select("rid", "b.*")
-    return one.select(F.col("lid").alias("geoname_id"), F.col("rid").alias("qid"), calibrated(best, F.col("score")).alias("confidence"), "km", "spelling")
+    sure = best.withColumn("confidence", calibrated(best, F.col("score"))).where(F.col("confidence") >= ACCEPT)
+    passed = sure.where(F.col("km").isNull() | (F.col("km") <= limit))
+    one = passed.groupBy("rid").agg(F.max_by(F.struct("lid", "confidence", "km", "spelling"), F.struct("score", -F.col("lid"))).alias("b")).select("rid", "b.*")
+    return one.select(F.col("lid").alias("geoname_id"), F.col("rid").alias("qid"), "confidence", "km", "spelling")
 
 
 def calibrated(scored: DataFrame, score: Column, bins: int = 20) -> Column:

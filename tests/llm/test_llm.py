@@ -208,7 +208,7 @@ def test_entity_matching(spark, scratch):
     ]
     others = [
         ("Q1", ["lac sorlund"], 10.001, 20.001, "lake", None, None), ("Q2", ["Sorlund, Arlandia"], 10.0, 20.0, "village", None, None), ("Q3", ["Nakrylow"], -5.0, -179.999, None, None, None), ("Q4", ["Farwick"], 3.0, 3.0, "town", None, 5), ("Q5", ["Swapton"], 50.0, 30.0, "hamlet", None, None),
-        ("Q6", ["Sorlund Herald"], 10.0, 20.0, "newspaper", None, None), ("Q7", ["Sorlund"], 60.0, 20.0, "village", None, None), ("Q8", [None], 1.0, 1.0, None, None, None), ("Q9", ["Farwick"], None, None, "town", None, None), ("Q10", ["Nakyrlów"], -5.001, 179.998, "village", None, None), ("Q11", ["Lac Sorlund"], 10.0, 20.0, "lake", None, 3),
+        ("Q6", ["Sorlund Herald"], 10.0, 20.0, "newspaper", None, None), ("Q7", ["Sorlund"], 60.0, 20.0, "village", None, None), ("Q8", [None], 1.0, 1.0, None, None, None), ("Q9", ["Farwick"], None, None, "town", None, None), ("Q10", ["Nakyrlów"], -5.001, 179.998, "village", None, None), ("Q11", ["Lac Sorlund"], 10.0, 20.0, "lake", None, 3), ("Q12", ["Fahrwieck am See"], None, None, "town", None, 5),
     ]
     assert _match(spark, scratch, places, others) == {(1, "Q1"), (3, "Q2"), (4, "Q3"), (5, "Q4"), (6, "Q5"), (4, "Q10"), (1, "Q11")}
     assert _match(spark, scratch, [], others) == set() and _match(spark, scratch, places, []) == set()
@@ -228,7 +228,8 @@ def test_close_pairs_are_exact(spark, scratch):
         return [(i, [typo(r.choice(base))], 50 + r.gauss(0, 0.02), 179.99 + r.gauss(0, 0.03)) for i in range(n)]
 
     mk = lambda x: entity_match.name_rows(spark.createDataFrame([(i, n) for i, n, _, _ in x], "id long, names array<string>"), F.col("names")).join(spark.createDataFrame([(i, a, o - 360 if o > 180 else o) for i, _, a, o in x], "id long, lat double, lon double"), "id")
-    l, o = scratch.save(mk(side(120))), scratch.save(mk(side(120)))
+    at = F.col("lat"), F.col("lon")
+    l, o = scratch.save(mk(side(120)).withColumn("cells", F.array(entity_match.own_cell(*at)))), scratch.save(mk(side(120)).withColumn("cells", entity_match.met_cells(*at)))
     from geoweave.functions import geo
 
     cross = l.select(*[F.col(c).alias(f"l{c}") for c in l.columns]).crossJoin(o.select(*[F.col(c).alias(f"r{c}") for c in o.columns]))
@@ -480,7 +481,7 @@ def test_initials_follow_the_full_name_of_their_text(spark, tmp_path):
 
     d = str(tmp_path)
     persons(spark, d, ["John Smith", "Jane Smith", "Mary Hill", "Carl Hill"], [("raw:2", "raw:3"), ("raw:1", "raw:0")])
-    texts = [(1, "John Smith wrote; J. Smith signed."), (2, "John Smith, Jane Smith and J. Smith."), (3, "Mary Hill met Carl Hill. M. Hill left.")]
+    texts = [(1, "John Smith wrote; J. Smith signed."), (2, "John Smith met Jane Smith and J. Smith."), (3, "Mary Hill met Carl Hill. M. Hill left.")]
     spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{d}/documents.parquet")
     spark.conf.set(queries.SURROGATE_KEY, "secret")
     try:
@@ -488,7 +489,7 @@ def test_initials_follow_the_full_name_of_their_text(spark, tmp_path):
         assert got == {r.doc_id: r for r in queries.p9_redacted(spark, d).collect()}
     finally:
         spark.conf.unset(queries.SURROGATE_KEY)
-    assert [got[i].tagged for i in (1, 2, 3)] == ["[NAME_1] wrote; [NAME_1] signed.", "[NAME_1], [NAME_2] and [NAME_3].", "[NAME_1] met [NAME_2]. [NAME_1] left."]
+    assert [got[i].tagged for i in (1, 2, 3)] == ["[NAME_1] wrote; [NAME_1] signed.", "[NAME_1] met [NAME_2] and [NAME_3].", "[NAME_1] met [NAME_2]. [NAME_1] left."]
     a, b = re.match(r"(\w+) (\w+) wrote; (\w\. \w+) signed", got[1].surrogate).group(1, 2), got[1].surrogate
     assert f"{a[0][0]}. {a[1]} signed" in b and a[0] in pii._GIVEN["m"]
     assert got[3].surrogate.split(" ")[0] in pii._GIVEN["f"] and re.search(r"met (\w+)", got[3].surrogate).group(1) in pii._GIVEN["m"]
@@ -507,3 +508,14 @@ def test_no_two_entities_share_what_is_written(spark, scratch):
     for r in placed:
         shown = r.kind, pii.canonical(r.kind, pii.dress(r.kind, r.found_text, r.core))
         assert shown not in real and owner.setdefault(shown, r.entity) == r.entity
+
+
+def test_a_full_spot_is_cut_into_blocks(spark, scratch, monkeypatch):
+    r = random.Random(8)
+    names = ["".join(r.choice("abcdefgh") for _ in range(9)) for _ in range(300)]
+    side = lambda n: spark.createDataFrame([(i, [names[i % 300][: 9 - i % 2]]) for i in range(n)], "id long, names array<string>")
+    mk = lambda n: scratch.save(entity_match.name_rows(side(n), F.col("names")).withColumns({"lat": F.lit(1.0), "lon": F.lit(1.0)}).withColumn("cells", F.array(entity_match.own_cell(F.col("lat"), F.col("lon")))))
+    left, right = mk(600), mk(450)
+    whole = rows(entity_match.close_pairs(left, right, scratch))
+    monkeypatch.setattr(entity_match, "BLOCK", 40)
+    assert rows(entity_match.close_pairs(left, right, scratch)) == whole and len(whole) >= 900
