@@ -6,8 +6,9 @@ virtual time.  Taking all documents of all sources by finish time until the
 budget is full serves every source in proportion to its weight; a source whose
 copies are used up drops out and the others share the rest.
 
-No window spans more than a slice: in-source sums and the cut at the budget are
-two-level prefix sums over slices of bounded size.
+The queue of all copies is range-sorted as a whole; running totals come from the
+sorted partitions and the sums of those before, and the queue ends where a mix's
+budget is full.  No window spans more than a slice of a source.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from geoweave.runtime import Scratch
 
@@ -92,7 +94,8 @@ def mix(docs: DataFrame, raw_targets: DataFrame, scratch: Scratch, seed: str = "
     ``docs`` has doc_id, source, tokens.  The budget of a mix is its size factor
     times the tokens of all documents, also those without source or target.
     Documents without tokens or without a target are never chosen.  Chosen:
-    (mix, source, doc_id, copy, tokens, finish), one row per copy.
+    (mix, source, doc_id, copy, tokens, finish, upto), one row per copy; ``upto``
+    is the mix's running total in the order of finish times.
     """
     docs = scratch.save(docs.select("doc_id", "source", "tokens"), "tokens")
     total = scratch.save(docs.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("n")), "total")
@@ -116,20 +119,32 @@ def mix(docs: DataFrame, raw_targets: DataFrame, scratch: Scratch, seed: str = "
     most = F.when(F.col("horizon").isNull(), F.col("copies")).otherwise(F.least(F.col("copies"), F.floor((F.col("horizon") * F.col("weight") - F.col("upto")) / F.col("size")) + 1)).cast("int")
     rows = rows.withColumn("most", most).where("most > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("most"))))
     rows = rows.withColumn("finish", ((F.col("copy") - 1) * F.col("size") + F.col("upto")) / F.col("weight"))
-    rows = scratch.save(rows.select("mix", "source", "doc_id", "copy", "tokens", "finish", "budget"), "queue")
-    # Cut at the budget: whole slices of virtual time first, then rows of the slice where it falls.
-    ends = rows.groupBy("mix").agg(F.max("finish").alias("end"), F.greatest(F.lit(16), F.ceil(F.count(F.lit(1)) / (SLICE / 10))).alias("cuts"))
-    at = rows.join(small(ends), "mix").withColumn("cut", F.floor(F.col("finish") / F.col("end") * F.col("cuts"))).drop("end", "cuts")
-    sums = at.groupBy("mix", "cut").agg(F.sum("tokens").alias("here"), F.max("budget").alias("goal"))
-    run = Window.partitionBy("mix").orderBy("cut").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = sums.withColumn("done", F.sum("here").over(run)).where(F.col("done") - F.col("here") < F.col("goal"))
-    sums = sums.select("mix", "cut", (F.col("done") <= F.col("goal")).alias("all"), (F.col("goal") - F.col("done") + F.col("here")).alias("room"))
-    kept = at.join(sums, ["mix", "cut"])
-    edge = Window.partitionBy("mix", "cut").orderBy("finish", "source", "doc_id", "copy").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Global order: range partitions, sorted inside, with their own running totals.
     cols = ["mix", "source", "doc_id", "copy", "tokens", "finish"]
-    last = kept.where(~F.col("all")).withColumn("run", F.sum("tokens").over(edge)).where(F.col("run") <= F.col("room"))
-    chosen = kept.where("all").select(*cols).unionByName(last.select(*cols))
-    return chosen, t, total
+    order = ["mix", "finish", "source", "doc_id", "copy"]
+    parts = int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
+    queue = rows.select(*cols, "budget").repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    queue = scratch.save(queue.mapInPandas(_running, StructType([*queue.schema.fields, StructField("part", IntegerType()), StructField("run", LongType())])), "queue")
+    # Each mix stands in neighbouring partitions: a row per partition and mix.
+    sums = queue.groupBy("mix", "part").agg(F.max("run").alias("here"))
+    run = Window.partitionBy("mix").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("mix", "part", F.coalesce(F.sum("here").over(run), F.lit(0)).alias("before"))
+    chosen = queue.join(sums, ["mix", "part"]).withColumn("upto", F.col("before") + F.col("run")).where(F.col("upto") <= F.col("budget"))
+    return chosen.select(*cols, "upto"), t, total
+
+
+def _running(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Adds the partition's number and its running total of tokens per mix; rows come sorted by mix."""
+    from pyspark import TaskContext
+
+    part, last, base = TaskContext.get().partitionId(), None, 0
+    for df in frames:
+        if not len(df):
+            continue
+        run = df.groupby("mix", sort=False)["tokens"].cumsum()
+        run += (df["mix"] == last) * base
+        last, base = df["mix"].iloc[-1], int(run.iloc[-1])
+        yield df.assign(part=part, run=run).astype({"part": "int32", "run": "int64"})
 
 
 def shares(chosen: DataFrame, t: DataFrame) -> DataFrame:

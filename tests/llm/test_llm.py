@@ -519,3 +519,22 @@ def test_a_full_spot_is_cut_into_blocks(spark, scratch, monkeypatch):
     whole = rows(entity_match.close_pairs(left, right, scratch))
     monkeypatch.setattr(entity_match, "BLOCK", 40)
     assert rows(entity_match.close_pairs(left, right, scratch)) == whole and len(whole) >= 900
+
+
+def test_shares_meet_their_targets_within_a_document(spark, scratch):
+    """While no source runs out, every source is served to within two documents of its weight at any time."""
+    r = random.Random(11)
+    docs = [(i, "abcd"[i % 4] if i % 3 else "a", r.randrange(1, 400)) for i in range(4000)]
+    goals = [("m", s, w, "percent", 3, 0.4) for s, w in zip("abcd", (10.0, 20.0, 30.0, 40.0))] + [("n", "a", 1.0, "fraction", 9, 1.5), ("n", "b", 3.0, "fraction", 9, 1.5)]
+    g = spark.createDataFrame(goals, "mix string, source string, weight double, unit string, max_repeats int, size_factor double")
+    chosen, t, _ = mixing.mix(spark.createDataFrame(docs, "doc_id long, source string, tokens long").repartition(3), g, scratch)
+    for mix, weights, factor in (("m", {"a": 0.1, "b": 0.2, "c": 0.3, "d": 0.4}, 0.4), ("n", {"a": 0.25, "b": 0.75}, 1.5)):
+        got = sorted((x.finish, x.source, x.doc_id, x["copy"], x.tokens, x.upto) for x in chosen.where(F.col("mix") == mix).collect())
+        whole, served = 0, dict.fromkeys(weights, 0)
+        for _, s, _, _, n, upto in got:
+            whole, served[s] = whole + n, served[s] + n
+            assert upto == whole and all(abs(served[k] - w * whole) <= 800 for k, w in weights.items())
+        budget = int(factor * sum(d[2] for d in docs))
+        assert budget - 400 < whole <= budget
+    for x in mixing.shares(chosen, t).collect():
+        assert abs(x.actual_share - x.target_share) < 0.01
