@@ -26,6 +26,7 @@ def split_names(c: Column) -> Column:
 
 def office_name(c: Column) -> Column:
     """A post office's place name: lower case, without the words for the office and what follows."""
+    # Fixed value: the words for a post office.
     return F.trim(F.regexp_replace(F.lower(F.trim(c)), r"\s+(post office|p\.?o\.?|m\.?p\.?o\.?).*$", ""))
 
 

@@ -29,7 +29,7 @@ def spatial(sources: DataFrame, targets: DataFrame, profile: str) -> DataFrame:
     and confidence are rounded to three places before they are compared.
     """
     km, k, least = PROFILES[profile]
-    near = cells.nearest(cells.radius_join(sources, targets, km), k)
+    near = cells.knn(sources, targets, km, k)
     s = sources.select(F.col("id").alias("src_id"), F.col("name").alias("sname"), "label")
     t = targets.select(F.col("id").alias("dst_id"), F.col("name").alias("tname"), "code")
     j = near.join(s, "src_id").join(t, "dst_id")
@@ -54,7 +54,7 @@ def historical(points: DataFrame, places: DataFrame, km: float = 25.0, least: fl
     ``points``: id, name, lat, lon.  ``places``: id, name, label, code, class,
     population, lat, lon.
     """
-    near = cells.nearest(cells.radius_join(points, places, km), candidates).drop("rank")
+    near = cells.knn(points, places, km, candidates).drop("rank")
     p = points.select(F.col("id").alias("src_id"), F.col("name").alias("target_name"))
     c = places.select(F.col("id").alias("dst_id"), "name", "label", "code", "class", "population")
     j = near.join(p, "src_id").join(c, "dst_id")

@@ -21,6 +21,8 @@ from geoweave.runtime import Scratch
 #: Quadtree levels that get nodes; one step opens 16 (the first: 256) children.
 LEVELS = (0, 4, 6, 8, 10, 12, 14, 16, 18, 20)
 _DEEP = LEVELS[-1]
+#: Key of the root.
+_ROOT = 0
 
 
 def _key(level: int | Column, iy: Column, ix: Column) -> Column:
@@ -177,27 +179,33 @@ def points_in_regions(points: DataFrame | PointTree, regions: DataFrame, scratch
     reg = regions.where(F.size("edges") > 0).select(
         "region_id", "edges", ex(F.array_min, "y1", "y2").alias("zs"), ex(F.array_max, "y1", "y2").alias("zn"), ex(F.array_min, "x1", "x2").alias("zw"), ex(F.array_max, "x1", "x2").alias("ze")
     )
-    reg = scratch.save(reg, "regions")
-    # The root stands for all points: one step down, a region meets only the cells its bounds touch.
+    # A node needs the edges that a ray to the east from any of its points can meet; every
+    # step narrows them, so a region's outline is split over its nodes and no step joins on the region.
     top = LEVELS[1]
     side = 1 << top
     span = lambda lo, hi, width: F.sequence(*[F.greatest(F.lit(0), F.least(F.lit(side - 1), F.floor((F.col(c) + width / 2) / width * side))).cast("long") for c in (lo, hi)])
-    cells = reg.select("region_id", F.explode(span("zs", "zn", 180.0)).alias("iy"), "zw", "ze").select("region_id", "iy", F.explode(span("zw", "ze", 360.0)).alias("ix"))
-    opened = cells.select("region_id", _key(top, F.col("iy"), F.col("ix")).alias("a")).unionByName(cells.select("region_id", _key(0, F.col("iy") * 0, F.col("ix") * 0).alias("a")).distinct())
-    live = opened.withColumn("sure", F.lit(False))
+    bounds = ["zs", "zn", "zw", "ze"]
+    cells = reg.withColumn("iy", F.explode(span("zs", "zn", 180.0)))
+    cells = cells.withColumn("edges", _east_of(F.col("edges"), F.col("iy") * (180.0 / side) - 90, (F.col("iy") + 1) * (180.0 / side) - 90, F.lit(-180.0)))
+    cells = cells.withColumn("ix", F.explode(span("zw", "ze", 360.0))).select("region_id", "edges", *bounds, _key(top, F.col("iy"), F.col("ix")).alias("a"))
+    whole = reg.select("region_id", "edges", *bounds, F.lit(_ROOT).alias("a"))
+    # The root stands for all points: one step down, a region meets only the cells its bounds touch.
+    live = scratch.save(cells.unionByName(whole).withColumn("sure", F.lit(False)), "regions")
     finished: list[DataFrame] = []
     for level in tree.levels[1:]:
         kids = _renamed(tree.first_cells() if level == top else tree.step(level), "l")
-        met = live.join(kids, F.col("a") == F.col("lparent")).join(reg, "region_id")
         box = _box("l")
         overlap = (box["s"] <= F.col("zn")) & (box["n"] >= F.col("zs")) & (box["w"] <= F.col("ze")) & (box["e"] >= F.col("zw"))
-        met = met.where(F.col("sure") | overlap)
+        met = live.join(kids, F.col("a") == F.col("lparent")).where(F.col("sure") | overlap)
+        met = met.withColumn("edges", F.when(~F.col("sure"), _east_of(F.col("edges"), box["s"], box["n"], box["w"])))
         met = met.withColumn("edge", ~F.col("sure") & geo.box_touches_edges(box, F.col("edges")))
         met = met.withColumn("in", F.col("sure") | (~F.col("edge") & geo.point_in_edges(box["w"], box["s"], F.col("edges"))))
-        nxt = met.where(F.col("edge") | F.col("in")).select("region_id", F.col("lnode").alias("a"), F.col("in").alias("sure"), F.col("lleaf").alias("leaf"), F.col("lblocks").alias("blocks"))
+        nxt = met.where(F.col("edge") | F.col("in")).select(
+            "region_id", F.col("lnode").alias("a"), F.col("in").alias("sure"), F.col("lleaf").alias("leaf"), F.col("lblocks").alias("blocks"), F.when(F.col("edge"), F.col("edges")).alias("edges"), *bounds
+        )
         nxt = scratch.save(nxt, f"zones{level}")
-        finished.append(nxt.where("leaf").drop("leaf"))
-        live = nxt.where(~F.col("leaf")).select("region_id", "a", "sure")
+        finished.append(nxt.where("leaf").select("region_id", "a", "sure", "blocks", "edges"))
+        live = nxt.where(~F.col("leaf")).drop("leaf", "blocks")
         if level >= 8 and live.isEmpty():
             break
     leaves = finished[0]
@@ -205,7 +213,11 @@ def points_in_regions(points: DataFrame | PointTree, regions: DataFrame, scratch
         leaves = leaves.unionByName(f)
     packed = tree.packed().select(F.col("node").alias("a"), F.col("block").alias("i"), "pts")
     met = leaves.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(packed, ["a", "i"])
-    rows = met.select("region_id", "sure", F.inline("pts").alias("point_id", "lat", "lon"))
-    certain = rows.where("sure")
-    tested = rows.where(~F.col("sure")).join(reg.select("region_id", "edges"), "region_id").where(geo.point_in_edges(F.col("lon"), F.col("lat"), F.col("edges")))
-    return certain.select("region_id", "point_id").unionByName(tested.select("region_id", "point_id"))
+    kept = F.when(F.col("sure"), F.col("pts")).otherwise(F.filter("pts", lambda p: geo.point_in_edges(p["lon"], p["lat"], F.col("edges"))))
+    return met.select("region_id", F.explode(F.transform(kept, lambda p: p["id"])).alias("point_id"))
+
+
+def _east_of(edges: Column, s: Column, n: Column, w: Column) -> Column:
+    """The edges that reach between two latitudes and not wholly west of a longitude; a hair more, for rounding."""
+    slack = 1e-6
+    return F.filter(edges, lambda e: (F.greatest(e["y1"], e["y2"]) >= s - slack) & (F.least(e["y1"], e["y2"]) <= n + slack) & (F.greatest(e["x1"], e["x2"]) >= w - slack))

@@ -179,12 +179,18 @@ class Hierarchy:
         cut = self.scratch.save(span.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()), "cut")
         # At most one boundary per partition: the first entry of each.
         at = cut.groupBy("part").agg(F.min(F.struct("root", (-F.col("enter")).alias("m"))).alias("b")).select("part", F.col("b.root").alias("root"), (-F.col("b.m")).alias("cutoff"))
-        opened = span.join(F.broadcast(at), "root").where((F.col("enter") > F.col("cutoff")) & (F.col("leave") < F.col("cutoff")))
+        # Open beyond its partition is what leaves after the next one begins; only that meets the other boundaries.
+        following = at.select((F.lag("part").over(Window.orderBy("part"))).alias("part"), "root", "cutoff")
+        crossing = cut.join(F.broadcast(following), ["part", "root"]).where(F.col("leave") < F.col("cutoff")).drop("part", "cutoff")
+        opened = crossing.join(F.broadcast(at), "root").where((F.col("enter") > F.col("cutoff")) & (F.col("leave") < F.col("cutoff")))
         cols = ["part", "line", "v", "id", "root", "depth", "enter", "leave"]
-        both = cut.select(*cols, F.lit(False).alias("seed")).unionByName(opened.select(*cols, F.lit(True).alias("seed")))
+        # The root itself lies open at the bottom of every partition that holds rows of its tree.
+        tops = self._named(cut.select("part", "root").distinct(), "root", "id", line=True)
+        last = F.lit(2**62).cast("long")
+        tops = tops.select("part", "line", F.col("root").alias("v"), "id", "root", F.lit(0).cast("long").alias("depth"), last.alias("enter"), F.lit(-1).cast("long").alias("leave"))
+        both = cut.select(*cols, F.lit(False).alias("seed")).unionByName(opened.select(*cols, F.lit(True).alias("seed"))).unionByName(tops.withColumn("seed", F.lit(True)))
         roots = self._named(span.groupBy("root").agg(F.count(F.lit(1)).alias("descendants")), "root", "root_id", line=True)
-        named = both.join(roots.select("root", "root_id"), "root")
-        lined = named.repartition(parts, "part").sortWithinPartitions("part", "root", F.col("enter").desc())
+        lined = both.repartition(parts, "part").sortWithinPartitions("part", "root", F.col("enter").desc())
         nodes = lined.mapInPandas(_paths, "line string, node_id string, root_id string, depth int, path array<string>, descendants long")
         return nodes, roots
 
@@ -202,5 +208,6 @@ def _paths(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 stack.pop()
             stack.append((r.leave, r.id))
             if not r.seed:
-                out.append((r.line, r.id, r.root_id, r.depth, [r.root_id, *(i for _, i in stack)], (r.enter - r.leave - 1) // 2))
+                path = [i for _, i in stack]
+                out.append((r.line, r.id, path[0], r.depth, path, (r.enter - r.leave - 1) // 2))
         yield pd.DataFrame(out, columns=["line", "node_id", "root_id", "depth", "path", "descendants"])

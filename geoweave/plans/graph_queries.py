@@ -260,12 +260,12 @@ def bbox_join(spark, d):
 
 @query("with " + _near(10) + " select src src_id, dst dst_id, km, r as rank from (select *, row_number() over (partition by src order by km, dst)::int r from near) where r <= 10")
 def knn_10(spark, d):
-    return cells.nearest(cells.radius_join(_src(spark, d), _dst(spark, d), 10.0), 10)
+    return cells.knn(_src(spark, d), _dst(spark, d), 10.0, 10)
 
 
 @query("with " + _near(10) + " select src src_id, dst dst_id, km from (select *, row_number() over (partition by src order by km, dst) r from near) where r = 1")
 def nn_1(spark, d):
-    return cells.nearest(cells.radius_join(_src(spark, d), _dst(spark, d), 10.0), 1).drop("rank")
+    return cells.knn(_src(spark, d), _dst(spark, d), 10.0, 1).drop("rank")
 
 
 @query(f"with a as (select lat, lon from {{p}} where lat is not null order by population desc nulls last, geonameId limit 1) select geonameId, {km_sql('a', 'p')} km from p, a where {km_sql('a', 'p')} <= 50")

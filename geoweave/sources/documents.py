@@ -90,10 +90,18 @@ def write_lines(df: DataFrame, path: str, metadata: dict | None = None) -> None:
 
 
 def write_document(df: DataFrame, path: str, name: str, metadata: dict) -> None:
-    """One JSON document ``{metadata, name: [...]}``, for results that one reader takes whole."""
-    doc = df.agg(F.collect_list(F.struct(*df.columns)).alias(name))
-    meta = F.create_map(*[F.lit(str(x)) for kv in metadata.items() for x in kv])
-    doc.select(F.to_json(F.struct(meta.alias("metadata"), name)).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    """One JSON document ``{metadata, name: [...]}``, for results that one reader takes whole.
+
+    The records stream through one task line by line; nothing gathers them in memory.
+    """
+    meta = F.create_map(*[F.lit(str(x)) for kv in metadata.items() for x in kv]) if metadata else F.create_map().cast("map<string,string>")
+    frame = df.sparkSession.range(2).select(
+        (F.col("id") * 2).alias("ord"), F.when(F.col("id") == 0, F.concat(F.lit('{"metadata":'), F.to_json(meta), F.lit(f',"{name}":['))).otherwise("]}").alias("value")
+    )
+    rows = df.select(F.lit(1).cast("long").alias("ord"), F.to_json(F.struct(*df.columns)).alias("value")).unionByName(frame).repartition(1).sortWithinPartitions("ord")
+    # Row 0 is the head, row 1 the first record; the row number stands first, so that every row counts.
+    comma = F.when((F.monotonically_increasing_id() > 1) & (F.col("ord") == 1), ",").otherwise("")
+    rows.select(F.concat(comma, "value").alias("value")).write.mode("overwrite").text(path)
 
 
 def write_statements(df: DataFrame, label: str, path: str) -> None:

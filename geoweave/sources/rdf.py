@@ -17,7 +17,8 @@ from geoweave.functions import ids
 from geoweave.functions.text import occupation_role, url_number
 
 CRM = "http://www.cidoc-crm.org/cidoc-crm/"
-TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
+RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
+TYPE = RDF + "type"
 LABEL = "http://www.w3.org/2000/01/rdf-schema#label"
 SAME = "http://www.w3.org/2002/07/owl#sameAs"
 
@@ -35,17 +36,20 @@ def _text(s: str) -> str:
     return re.sub(r"\\(u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8}|.)", lambda m: chr(int(m[1][1:], 16)) if m[1][0] in "uU" and len(m[1]) > 1 else _ESCAPE.get(m[1], m[1]), s)
 
 
-def parse_turtle(text: str) -> Iterator[tuple[str, str, str, str]]:
+def parse_turtle(text: str, strict: bool = True) -> Iterator[tuple[str, str, str, str]]:
     """(s, p, o, kind) with kind iri, literal or bnode.
 
     Understands prefixes, base, ``a``, ``;`` and ``,``, typed and tagged
-    literals, anonymous nodes in brackets; collections are not supported.  A
-    character that starts no token raises ValueError.
+    literals, anonymous nodes in brackets, collections.  A character that starts
+    no token raises ValueError if ``strict``, else it is passed over.
     """
     tokens: list[tuple[str, str]] = []
     at = 0
     while at < len(text):
         m = _TOKEN.match(text, at)
+        if not m and not strict:
+            at += 1
+            continue
         if not m:
             raise ValueError(f"unreadable at {at}: {text[at : at + 40]!r}")
         at = m.end()
@@ -76,6 +80,16 @@ def parse_turtle(text: str) -> Iterator[tuple[str, str, str, str]]:
                 pairs(name, "]")
             k += 1
             return name, "bnode"
+        if t == "(":
+            cells = []
+            while tokens[k][1] != ")":
+                cells.append(node())
+            k += 1
+            names = [f"_:b{fresh + i + 1}" for i in range(len(cells))]
+            fresh += len(cells)
+            for name, after, (o, what) in zip(names, [*names[1:], RDF + "nil"], cells):
+                out.extend([(name, RDF + "first", o, what), (name, RDF + "rest", after, "bnode" if after.startswith("_:") else "iri")])
+            return (names[0], "bnode") if names else (RDF + "nil", "iri")
         if kind == "str":
             if k < len(tokens) and tokens[k][0] == "tag":
                 k += 1
@@ -117,17 +131,20 @@ def parse_turtle(text: str) -> Iterator[tuple[str, str, str, str]]:
     yield from out
 
 
-def _files(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for df in frames:
-        for file, text in zip(df["file"], df["value"]):
-            rows = [(f"{file}{s}" if s.startswith("_:") else s, p, f"{file}{o}" if k == "bnode" else o, k) for s, p, o, k in parse_turtle(text)]
-            yield pd.DataFrame(rows, columns=["s", "p", "o", "o_kind"])
+def _files(strict: bool):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in frames:
+            for file, text in zip(df["file"], df["value"]):
+                rows = [(f"{file}{s}" if s.startswith("_:") else s, p, f"{file}{o}" if k == "bnode" else o, k) for s, p, o, k in parse_turtle(text, strict)]
+                yield pd.DataFrame(rows, columns=["s", "p", "o", "o_kind"])
+
+    return run
 
 
-def turtle(spark: SparkSession, path: str) -> DataFrame:
+def turtle(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """(s, p, o, o_kind) of all Turtle files; blank nodes are kept apart per file."""
     t = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
-    return t.mapInPandas(_files, "s string, p string, o string, o_kind string")
+    return t.mapInPandas(_files(strict), "s string, p string, o string, o_kind string")
 
 
 def ntriples(spark: SparkSession, path: str) -> DataFrame:
@@ -198,7 +215,7 @@ def persons(t: DataFrame) -> DataFrame:
     died = _events(t, "E69_Death", "P100_was_death_of", p).withColumnRenamed("event", "deathEvent")
     out = p.join(names, "uri", "left").join(wd, "uri", "left").join(vf, "uri", "left").join(born, "uri", "left").join(died, "uri", "left").join(spouses(t, p), "personId", "left")
     return out.select(
-        "personId", "idType", F.coalesce(F.get("names", F.lit(0)), F.lit("Unknown")).alias("name"), F.slice(F.coalesce("names", F.array().cast("array<string>")), 2, 1000).alias("alternateNames"),
+        "personId", "idType", F.coalesce(F.get("names", F.lit(0)), F.lit("Unknown")).alias("name"), F.when(F.size("names") > 1, F.slice("names", F.lit(2), F.size("names") - 1)).otherwise(F.array().cast("array<string>")).alias("alternateNames"),
         "wikidataQid", F.when(F.col("idType") == "VIAF", ids.number_id(F.col("uri"))).otherwise(F.col("sameViaf")).alias("viafId"), "birthEvent", F.col("deathEvent").dropFields("motherId", "fatherId").alias("deathEvent"), "relationships",
     )
 
@@ -217,6 +234,7 @@ def plausible(people: DataFrame) -> DataFrame:
     return people.where("birthEvent is not null or deathEvent is not null or wikidataQid is not null or size(relationships) > 0")
 
 
+# Fixed value: the agency where a record names none.
 def agents(t: DataFrame, default_agency: str = "Department of Indian Affairs") -> DataFrame:
     """Persons with the activities they carried out: role, agency, start, place number."""
     p = _of(t, "E21_Person").withColumnRenamed("s", "uri")

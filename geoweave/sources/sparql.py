@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import re
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 Fetch = Callable[[str, str], dict]
@@ -29,7 +31,8 @@ def source(fetch: Fetch = http_fetch) -> type[DataSource]:
     """A data source class ``sparql``: options endpoint, query, page, pages; columns by the schema given.
 
     Each partition reads one page with LIMIT and OFFSET and follows on with
-    every ``pages``-th page until one is short.
+    every ``pages``-th page until one is short.  Pages only fit together in a
+    fixed order, so the query has to end in an ORDER BY over a key.
     """
 
     class Reader(DataSourceReader):
@@ -37,6 +40,8 @@ def source(fetch: Fetch = http_fetch) -> type[DataSource]:
             self.o, self.names = options, schema.fieldNames()
 
         def partitions(self) -> list[InputPartition]:
+            if not re.search(r"\border\s+by\b", self.o["query"], re.I):
+                raise ValueError("a paged query needs an ORDER BY")
             return [_Page(i) for i in range(int(self.o.get("pages", 1)))]
 
         def read(self, part: _Page) -> Iterator[tuple]:
@@ -60,9 +65,51 @@ def source(fetch: Fetch = http_fetch) -> type[DataSource]:
     return Sparql
 
 
-def by_ids(spark: SparkSession, statement: str, idents: list[str], batch: int = 100) -> list[str]:
-    """Statements with VALUES lists of at most ``batch`` ids; ``{values}`` marks the place."""
-    return [statement.replace("{values}", " ".join(f"wd:{i}" for i in idents[a : a + batch])) for a in range(0, len(idents), batch)]
+def _rows(got: dict, names: list[str]) -> list[tuple]:
+    return [tuple(b.get(v, {}).get("value") for v in names) for b in got["results"]["bindings"]]
+
+
+def by_ids(idents: DataFrame, statement: str, schema: str, fetch: Fetch = http_fetch, endpoint: str = "", batch: int = 100) -> DataFrame:
+    """Bindings for the ids of a one-column frame, fetched in the tasks.
+
+    ``{values}`` in the statement is replaced by at most ``batch`` ids at a time.
+    """
+    names = [c.split()[0] for c in schema.split(",")]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in frames:
+            wanted = [i for i in df.iloc[:, 0] if i]
+            for a in range(0, len(wanted), batch):
+                got = fetch(endpoint, statement.replace("{values}", " ".join(f"wd:{i}" for i in wanted[a : a + batch])))
+                yield pd.DataFrame(_rows(got, names), columns=names)
+
+    return idents.mapInPandas(run, schema)
+
+
+def by_key(keys: DataFrame, statement: str, schema: str, cache: str, fetch: Fetch = http_fetch, endpoint: str = "") -> DataFrame:
+    """Bindings for every key (a country, a type), one query each, kept under ``cache``.
+
+    ``{key}`` in the statement is replaced.  Keys that the cache holds are not
+    fetched again, so a broken run goes on where it stopped; a key without
+    results is kept as one row of nulls and left out here.
+    """
+    spark = keys.sparkSession
+    names = [c.split()[0] for c in schema.split(",")]
+    full = f"key string, found boolean, {schema}"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(cache)
+    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    known = spark.read.schema(full).parquet(cache) if there else spark.createDataFrame([], full)
+    todo = keys.toDF("key").distinct().join(known.select("key").distinct(), "key", "left_anti")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in frames:
+            for key in df["key"]:
+                got = [(key, True, *r) for r in _rows(fetch(endpoint, statement.replace("{key}", key)), names)] or [(key, False, *[None] * len(names))]
+                yield pd.DataFrame(got, columns=["key", "found", *names])
+
+    todo.mapInPandas(run, full).write.mode("append").parquet(cache)
+    return spark.read.schema(full).parquet(cache).where("found").drop("found")
 
 
 def register(spark: SparkSession, fetch: Fetch = http_fetch) -> None:

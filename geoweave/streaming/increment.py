@@ -1,8 +1,8 @@
 """Incremental ingest: daily files of changed and of removed places into a table.
 
 Each run takes the files that are new since the checkpoint and ends.  A batch
-rewrites the table under a new version folder and then moves the pointer file,
-so readers see one version or the other and a lost run leaves the old one.
+rewrites the table under a new version folder and then adds an entry that names
+it, so readers see one version or the other and a lost run leaves the old one.
 """
 
 from __future__ import annotations
@@ -26,15 +26,21 @@ def current(spark: SparkSession, table: str) -> DataFrame | None:
     fs, p = _fs(spark, f"{table}/CURRENT")
     if not fs.exists(p):
         return None
-    version = spark.read.text(f"{table}/CURRENT").first()[0]
-    return spark.read.parquet(f"{table}/{version}")
+    version = max(str(s.getPath().getName()) for s in fs.listStatus(p))
+    return spark.read.parquet(f"{table}/{version.split('-', 1)[1]}")
 
 
 def publish(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Writes a new version and makes it the present one."""
+    """Writes a new version and makes it the present one.
+
+    The version in force is the last entry of the folder CURRENT; entries are
+    empty folders, and making one is a single step, so readers always find one.
+    """
     version = f"v-{uuid.uuid4().hex}"
     df.write.parquet(f"{table}/{version}")
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{table}/CURRENT")
+    fs, p = _fs(spark, f"{table}/CURRENT")
+    n = 1 + max((int(str(s.getPath().getName()).split("-", 1)[0]) for s in fs.listStatus(p)), default=0) if fs.exists(p) else 1
+    fs.mkdirs(_fs(spark, f"{table}/CURRENT/{n:012d}-{version}")[1])
 
 
 def apply_batch(table: str):
@@ -42,11 +48,13 @@ def apply_batch(table: str):
 
     def run(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        new = gazetteer.cleanse(batch)
+        # A number that the file leaves out is no news: the old one stays.
+        new = gazetteer.cleanse(batch, missing_numbers=None)
         old = current(spark, table)
         order = [F.col("modifiedDate")]
         base = old if old is not None else new.limit(0)
-        publish(spark, upsert(base, new, "geonameId", order), table)
+        merged = upsert(base, new, "geonameId", order)
+        publish(spark, merged.withColumns({c: F.coalesce(c, F.lit(0).cast(t)) for c, t in (("population", "bigint"), ("elevation", "int"))}), table)
 
     return run
 

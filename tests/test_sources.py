@@ -113,6 +113,11 @@ def test_rdf(spark, tmp_path):
     assert rows(rdf.ntriples(spark, str(tmp_path / "x.nt"))) == [("http://a", "http://b", "http://c", "iri"), ("http://a", "http://b", "text", "literal")]
     with pytest.raises(ValueError):
         list(rdf.parse_turtle("ex:a \x01"))
+    assert list(rdf.parse_turtle("<a> \x01 <b> <c> .", strict=False)) == [("a", "b", "c", "iri")]
+    assert list(rdf.parse_turtle("<a> <b> ( 1 <c> ) , () .")) == [
+        ("_:b1", rdf.RDF + "first", "1", "literal"), ("_:b1", rdf.RDF + "rest", "_:b2", "bnode"), ("_:b2", rdf.RDF + "first", "c", "iri"), ("_:b2", rdf.RDF + "rest", rdf.RDF + "nil", "iri"),
+        ("a", "b", "_:b1", "bnode"), ("a", "b", rdf.RDF + "nil", "iri"),
+    ]
 
 
 def _fake(endpoint, statement):
@@ -122,9 +127,29 @@ def _fake(endpoint, statement):
 
 def test_paged_source(spark):
     sparql.register(spark, _fake)
-    got = spark.read.format("sparql").schema("item string, label string").option("query", "SELECT").option("page", "2").option("pages", "2").load()
+    got = spark.read.format("sparql").schema("item string, label string").option("query", "SELECT ORDER BY ?item").option("page", "2").option("pages", "2").load()
     assert sorted(r.item for r in got.collect()) == [f"Q{i}" for i in range(7)]
-    assert sparql.by_ids(spark, "VALUES {values}", ["Q1", "Q2", "Q3"], 2) == ["VALUES wd:Q1 wd:Q2", "VALUES wd:Q3"]
+    with pytest.raises(Exception, match="ORDER BY"):
+        spark.read.format("sparql").schema("item string").option("query", "SELECT").load().collect()
+
+
+def test_fetch_by_ids_and_by_key(spark, tmp_path):
+    echo = lambda _, q: {"results": {"bindings": [{"item": {"value": x}} for x in q.split("|")[1].split()]}}
+    ids = spark.createDataFrame([(f"Q{i}",) for i in range(250)] + [(None,)], "qid string").coalesce(1)
+    got = sparql.by_ids(ids, "VALUES |{values}|", "item string", echo)
+    assert sorted(r.item for r in got.collect()) == sorted(f"wd:Q{i}" for i in range(250))
+    keys = spark.createDataFrame([("CA",), ("FR",), ("none",)], "k string")
+    some = lambda _, q: {"results": {"bindings": [] if "none" in q else [{"item": {"value": q[-2:]}}]}}
+    cache = str(tmp_path / "cache")
+    assert rows(sparql.by_key(keys, "in {key}", "item string", cache, some)) == [("CA", "CA"), ("FR", "FR")]
+
+    def never(_, q):
+        if not q.endswith("DE"):
+            raise ValueError(q)
+        return {"results": {"bindings": [{"item": {"value": "new"}}]}}
+
+    more = keys.union(spark.createDataFrame([("DE",)], "k string"))
+    assert rows(sparql.by_key(more, "in {key}", "item string", cache, never)) == [("CA", "CA"), ("DE", "new"), ("FR", "FR")]
 
 
 def test_incremental_ingest(spark, tmp_path):
@@ -140,3 +165,6 @@ def test_incremental_ingest(spark, tmp_path):
     (gone / "1.txt").write_text("1\tA\tdup\n")
     increment.removals(spark, str(gone), table, str(tmp_path / "c2"))
     assert rows(increment.current(spark, table).select("geonameId")) == [(2,), (3,)]
+    (inbox / "3.txt").write_text(line(2, "B3", pop="", date="2022-01-01"))
+    increment.changes(spark, str(inbox), table, str(tmp_path / "c1"))
+    assert rows(increment.current(spark, table).select("geonameId", "name", "population")) == [(2, "B3", 5), (3, "C", 5)]
