@@ -51,6 +51,12 @@ def valid_position(lat: Column, lon: Column) -> Column:
     return lat.isNotNull() & lon.isNotNull() & ~F.isnan(lat) & ~F.isnan(lon) & (F.abs(lat) <= 90) & (F.abs(lon) <= 180)
 
 
+def repaired(lat: Column, lon: Column) -> Column:
+    """struct(lat, lon, outcome): kept, or swapped where only the exchanged numbers are a position; null where neither is."""
+    made = lambda a, o, how: F.struct(a.alias("lat"), o.alias("lon"), F.lit(how).alias("outcome"))
+    return F.when(valid_position(lat, lon), made(lat, lon, "kept")).when(valid_position(lon, lat), made(lon, lat, "swapped"))
+
+
 def parse_point(text: Column) -> Column:
     """struct(lat, lon) from point text, longitude first; null where it gives no point."""
     pat = r"(?i)point\s*z?\s*\(\s*([-+]?[0-9.]+(?:e[-+]?[0-9]+)?)[\s,]+([-+]?[0-9.]+(?:e[-+]?[0-9]+)?)"

@@ -60,19 +60,32 @@ def part_of(places: DataFrame) -> DataFrame:
     return out
 
 
+def located_by_country_and_code(places: DataFrame, code: str = "admin2Code") -> DataFrame:
+    """(src, dst) from every place that is no division to the level-2 divisions of its country and code alone.
+
+    The looser key of loads whose divisions lack the level above; several may fit.
+    """
+    d = places.where((F.col("featureCode") == "ADM2") & F.col("countryCode").isNotNull() & F.col(code).isNotNull()).select("countryCode", code, F.col("geonameId").alias("dst"))
+    p = places.where(F.coalesce(F.col("featureClass") != "A", F.lit(False))).select("countryCode", code, F.col("geonameId").alias("src"))
+    return p.join(d, ["countryCode", code]).select("src", "dst").distinct()
+
+
 def walk(edges: DataFrame, start: DataFrame, most: int, least: int = 1) -> DataFrame:
     """(start, node, hops, path) of every walk of ``least`` to ``most`` hops along (src, dst).
 
-    Bounded depth is a chain of equi-joins; no edge is used twice since a walk
-    never returns to a node of its path.
+    Bounded depth is a chain of equi-joins.  No edge is used twice in a walk, a
+    node may be: two steps over one edge are told by its ends, or by ``edge``
+    where the edges have such a column, as undirected ones do for both directions.
     """
+    e = edges.select(F.col("src").alias("node"), "dst", (F.col("edge") if "edge" in edges.columns else F.struct("src", "dst")).alias("_e"))
     here = start.select(F.col("node").alias("start"), "node", F.lit(0).alias("hops"), F.array("node").alias("path"))
-    steps = [here] if least == 0 else []
+    here = here.withColumn("_used", F.array().cast(f"array<{e.schema['_e'].dataType.simpleString()}>"))
+    steps = [here.drop("_used")] if least == 0 else []
     for n in range(1, most + 1):
-        here = here.join(edges.select(F.col("src").alias("node"), "dst"), "node").where(~F.array_contains("path", F.col("dst")))
-        here = here.select("start", F.col("dst").alias("node"), F.lit(n).alias("hops"), F.concat("path", F.array("dst")).alias("path"))
+        here = here.join(e, "node").where(~F.exists("_used", lambda u: u == F.col("_e")))
+        here = here.select("start", F.col("dst").alias("node"), F.lit(n).alias("hops"), F.concat("path", F.array("dst")).alias("path"), F.concat("_used", F.array("_e")).alias("_used"))
         if n >= least:
-            steps.append(here)
+            steps.append(here.drop("_used"))
     return reduce(DataFrame.unionByName, steps)
 
 

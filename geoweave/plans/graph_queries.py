@@ -14,6 +14,7 @@ from geoweave.operators import cells, graph, tables
 from geoweave.operators.edits import within_edits
 from geoweave.plans.base import QUERIES, entities, fold_sql, km_sql, persons, places, query  # noqa: F401
 from geoweave.runtime import Scratch, fold, table
+from geoweave.sources import gazetteer
 
 _CUT = "2024-01-01"
 #: Query vectors compared with all rows at a time.
@@ -39,14 +40,14 @@ def gaz_cleanse(spark, d):
 
 @query("select countryCode country_code, count(*)::bigint n from {p} where countryCode in ('XK', 'QM', 'ZB', 'XT') and countryCode not in ('XK') group by 1")
 def gaz_country_filter(spark, d):
-    p = places(spark, d, "countryCode").where(F.col("countryCode").isin("XK", "QM", "ZB", "XT") & ~F.col("countryCode").isin("XK"))
+    p = gazetteer.by_country(places(spark, d, "countryCode"), ["XK", "QM", "ZB", "XT"], ["XK"])
     return p.groupBy(F.col("countryCode").alias("country_code")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("select geonameId, featureClass feature_class, featureCode feature_code from {p} where featureClass in ('H', 'A') or featureClass || '.' || featureCode in ('P.PPL', 'P.PPLA')")
 def gaz_feature_filter(spark, d):
-    full = F.concat("featureClass", F.lit("."), "featureCode")
-    return places(spark, d, "featureClass featureCode").where(F.col("featureClass").isin("H", "A") | full.isin("P.PPL", "P.PPLA")).select("geonameId", F.col("featureClass").alias("feature_class"), F.col("featureCode").alias("feature_code"))
+    p = places(spark, d, "featureClass featureCode").withColumn("fullFeatureCode", F.concat("featureClass", F.lit("."), "featureCode"))
+    return gazetteer.by_feature(p, ["H", "A", "P.PPL", "P.PPLA"]).select("geonameId", F.col("featureClass").alias("feature_class"), F.col("featureCode").alias("feature_code"))
 
 
 @query("""select full_code, n, round(100.0::double * n / sum(n) over (), 3) pct from (select concat_ws('.', featureClass, featureCode) full_code, count(*)::bigint n from {p} group by 1) order by n desc, full_code limit 50""")
@@ -227,8 +228,8 @@ def hier_closure(spark, d):
     return graph.closure(_succession(spark, d), Scratch(spark, "closure"))
 
 
-@query("with " + _SUCC + """ select qid "start", qid node, 0 hops from w union all select w.qid, s.dst, 1 from w join s on s.src = w.qid where s.dst <> w.qid
- union all select w.qid, t.dst, 2 from w join s on s.src = w.qid join s t on t.src = s.dst where s.dst <> w.qid and t.dst <> w.qid and t.dst <> s.dst --{w}""")
+@query("with " + _SUCC + """ select qid "start", qid node, 0 hops from w union all select w.qid, s.dst, 1 from w join s on s.src = w.qid
+ union all select w.qid, t.dst, 2 from w join s on s.src = w.qid join s t on t.src = s.dst where (s.src, s.dst) <> (t.src, t.dst) --{w}""")
 def hier_zero_to_two(spark, d):
     return graph.walk(_succession(spark, d), entities(spark, d, "").select(F.col("qid").alias("node")), 2, 0).select("start", "node", "hops")
 
