@@ -12,8 +12,8 @@ from geoweave.functions import geo, ids, scores
 from geoweave.functions.text import office_name
 from geoweave.operators import cells, graph, tables
 from geoweave.operators.edits import within_edits
-from geoweave.plans.base import QUERIES, entities, fold_sql, km_sql, persons, places, query  # noqa: F401
-from geoweave.runtime import Scratch, fold, table
+from geoweave.plans.base import QUERIES, entities, km_sql, persons, places, query  # noqa: F401
+from geoweave.runtime import _FROM, Scratch, table
 from geoweave.sources import gazetteer
 
 _CUT = "2024-01-01"
@@ -357,9 +357,10 @@ def name_province_unique(spark, d):
 
 
 def _requests(spark, d):
+    number = F.substr("qid", F.lit(2)).cast("bigint")
     c = table(spark, d, "country").select(F.upper(F.trim("qid")).alias("countryQid"), F.col("code").alias("country"))
     return entities(spark, d, "name label countryQid lat lon").join(c, "countryQid", "left").select(
-        F.substr("qid", F.lit(2)).cast("bigint").alias("mention_id"), "name", "country", F.lit("07").alias("admin1"), "lat", "lon", F.lit(50.0).alias("radius_km"), (F.col("label") == "ghost town").alias("historical")
+        number.alias("mention_id"), "name", "country", F.lpad((number % 20).cast("string"), 2, "0").alias("admin1"), "lat", "lon", (20 + number % 50).cast("double").alias("radius_km"), (F.col("label") == "ghost town").alias("historical")
     )
 
 
@@ -367,7 +368,9 @@ def _gazetteer(spark, d):
     return places(spark, d, "name alternateNames wikidataAlternateNames countryCode admin1Code featureCode population wikidataId lat lon").withColumn("dissolvedDate", F.lit(None).cast("string"))
 
 
-_REQ = """req as (select substr(w.qid, 2)::bigint mention_id, w."name" wanted, c.code country, '07' admin1, w.lat, w.lon, w.label = 'ghost town' hist from {w} left join country c on upper(trim(c.qid)) = w.countryQid),
+_ROWS = """req as (select substr(w.qid, 2)::bigint mention_id, w."name" wanted, c.code country, lpad((substr(w.qid, 2)::bigint % 20)::varchar, 2, '0') admin1, (20 + substr(w.qid, 2)::bigint % 50)::double radius,
+ w.lat, w.lon, w.label = 'ghost town' hist from {w} left join country c on upper(trim(c.qid)) = w.countryQid)"""
+_REQ = _ROWS + """,
  nm as (select distinct geonameId, unnest(list_concat(["name"], coalesce(alternateNames, []), coalesce(wikidataAlternateNames, []))) wanted from {p}),
  nm2 as (select distinct geonameId, unnest(list_concat(["name"], coalesce(alternateNames, []))) wanted from p)"""
 
@@ -389,8 +392,8 @@ def _located(p):
     return p.where("countryCode is not null and admin1Code is not null").select(F.col("geonameId").alias("src"), F.concat_ws(".", "countryCode", "admin1Code").alias("division"))
 
 
-@query("with " + _REQ + f""", k as (select req.mention_id, p.geonameId, {km_sql('req', 'p')} km from req join nm2 using (wanted) join p using (geonameId))
- select mention_id, geonameId, round(1 - km / 50.0::double, 3) confidence, r as place_rank from (select *, row_number() over (partition by mention_id order by km, geonameId)::int r from k where km <= 50) where r <= 20""")
+@query("with " + _REQ + f""", k as (select req.mention_id, p.geonameId, radius, {km_sql('req', 'p')} km from req join nm2 using (wanted) join p using (geonameId))
+ select mention_id, geonameId, round(1 - km / radius, 3) confidence, r as place_rank from (select *, row_number() over (partition by mention_id order by km, geonameId)::int r from k where km <= radius) where r <= 20""")
 def recon_geo(spark, d):
     return reconcile.geographic(_requests(spark, d), _gazetteer(spark, d)).select("mention_id", "geonameId", "confidence", "place_rank")
 
@@ -401,57 +404,47 @@ def recon_historical(spark, d):
     return reconcile.historical(_requests(spark, d), _gazetteer(spark, d)).select("mention_id", "geonameId", "confidence", "place_rank")
 
 
-_ASCII = "regexp_replace(" + fold_sql("{x}") + ", '[^ -~]', '?', 'g')"
+# The other engine counts edits in bytes: there every letter beyond ASCII stands as a sign that no name holds.
+_SIGNS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ!#$%&*+/:;<=>?@[]^_`|~"
+_ODD = ("¥©³¶áãåèéíñóöøúł" + "".join(c for c in _FROM if c not in "áãåèéíñóöøúł"))[: len(_SIGNS)]
 
 
-@query(f"""with a as (select distinct {_ASCII.replace('{x}', '"name"')} a from {{w}}), b as (select distinct {_ASCII.replace('{x}', '"name"')} b from {{p}})
- select a, b, levenshtein(a, b)::int distance from a join b on abs(length(a) - length(b)) <= 2 where levenshtein(a, b) <= 2""")
-def recon_fuzzy_names(spark, d):
-    plain = lambda df, to: df.select(F.regexp_replace(fold(F.col("name")), "[^ -~]", "?").alias(to))
-    return within_edits(plain(entities(spark, d, "name"), "a"), plain(places(spark, d, "name"), "b"), 2)
-
-
-def _plain(c):
-    """Folded letters, anything left beyond ASCII as a question mark: edits count alike in every engine."""
-    return F.regexp_replace(fold(c), "[^ -~]", "?")
-
+def _one_byte(x: str) -> str:
+    return f"translate(lower({x}), '{_ODD}', '{_SIGNS}')"
 
-def _plain_requests(spark, d):
-    return _requests(spark, d).withColumn("name", _plain(F.col("name")))
 
-
-def _plain_gazetteer(spark, d):
-    lists = {c: F.transform(c, lambda x: _plain(x)) for c in ("alternateNames", "wikidataAlternateNames")}
-    return _gazetteer(spark, d).withColumns({"name": _plain(F.col("name"))} | lists)
+@query(f"""with a as (select distinct lower("name") a from {{w}}), b as (select distinct lower("name") b from {{p}}), j as (select a, b, levenshtein({_one_byte('a')}, {_one_byte('b')})::int distance from a join b on abs(length(a) - length(b)) <= 2)
+ select a, b, distance from j where distance <= 2""")
+def recon_fuzzy_names(spark, d):
+    low = lambda df, to: df.select(F.lower("name").alias(to))
+    return within_edits(low(entities(spark, d, "name"), "a"), low(places(spark, d, "name"), "b"), 2)
 
 
-_PLAIN_LIST = "list_transform(coalesce({c}, []), lambda x: " + _ASCII.replace("{x}", "x") + ")"
-_SMART = f"""with req as (select substr(w.qid, 2)::bigint mention_id, {_ASCII.replace('{x}', 'w."name"')} wanted, c.code country, '07' admin1, w.lat, w.lon, w.label = 'ghost town' hist from {{w}} left join country c on upper(trim(c.qid)) = w.countryQid),
- pp as (select *, {_ASCII.replace('{x}', '"name"')} plain from {{p}}),
- nm as (select distinct geonameId, unnest(list_concat([plain], {_PLAIN_LIST.replace('{c}', 'alternateNames')}, {_PLAIN_LIST.replace('{c}', 'wikidataAlternateNames')})) wanted from pp),
- nm2 as (select distinct geonameId, unnest(list_concat([plain], {_PLAIN_LIST.replace('{c}', 'alternateNames')})) wanted from pp),
- fz as (select req.mention_id, pp.geonameId, round(1 - levenshtein(req.wanted, plain)::double / nullif(length(req.wanted), 0), 3) confidence,
- row_number() over (partition by mention_id order by levenshtein(req.wanted, plain), population desc nulls last, geonameId)::int r from req join pp on abs(length(wanted) - length(plain)) <= 2 and (country is null or countryCode = country) where levenshtein(wanted, plain) <= 2)"""
+_SMART = f"""{_ROWS}, pp as (select * from {{p}}),
+ nm as (select distinct geonameId, unnest(list_concat(["name"], coalesce(alternateNames, []), coalesce(wikidataAlternateNames, []))) wanted from pp),
+ nm2 as (select distinct geonameId, unnest(list_concat(["name"], coalesce(alternateNames, []))) wanted from pp),
+ fz as (select mention_id, geonameId, round(1 - dist::double / nullif(length(wanted), 0), 3) confidence, row_number() over (partition by mention_id order by dist, population desc nulls last, geonameId)::int r from
+ (select req.mention_id, wanted, pp.geonameId, population, levenshtein({_one_byte('wanted')}, {_one_byte('"name"')}) dist from req join pp on abs(length(wanted) - length("name")) <= 2 and (country is null or countryCode = country)) where dist <= 2)"""
 
 
-@query(_SMART + " select mention_id, geonameId, confidence, r as place_rank from fz where r <= 20")
+@query("with " + _SMART + " select mention_id, geonameId, confidence, r as place_rank from fz where r <= 20")
 def recon_fuzzy(spark, d):
-    return reconcile.fuzzy(_plain_requests(spark, d), _plain_gazetteer(spark, d)).select("mention_id", "geonameId", "confidence", "place_rank")
+    return reconcile.fuzzy(_requests(spark, d), _gazetteer(spark, d)).select("mention_id", "geonameId", "confidence", "place_rank")
 
 
-@query(_SMART + f""", hits as (
+@query("with " + _SMART + f""", hits as (
  select req.mention_id, geonameId, 1.0::double confidence, 'exact' strategy, 1 sr, row_number() over (partition by mention_id order by population desc nulls last, geonameId) r from req join nm using (wanted) join pp using (geonameId) where country is null or countryCode = country
  union all select mention_id, geonameId, 0.95, 'administrative', 2, row_number() over (partition by mention_id order by population desc nulls last, geonameId) from req join nm2 using (wanted) join pp using (geonameId)
  where countryCode = coalesce(country, 'CA') and contains(countryCode || '.' || admin1Code, admin1)
- union all select mention_id, geonameId, round(1 - km / 50.0::double, 3), 'geographic', 3, row_number() over (partition by mention_id order by km, geonameId) from (select req.mention_id, pp.geonameId, {km_sql('req', 'pp')} km from req join nm2 using (wanted) join pp using (geonameId)) where km <= 50
+ union all select mention_id, geonameId, round(1 - km / radius, 3), 'geographic', 3, row_number() over (partition by mention_id order by km, geonameId) from (select req.mention_id, pp.geonameId, radius, {km_sql('req', 'pp')} km from req join nm2 using (wanted) join pp using (geonameId)) where km <= radius
  union all select mention_id, geonameId, 0.9, 'historical', 4, row_number() over (partition by mention_id order by geonameId) from req join nm using (wanted) join pp using (geonameId) where hist and countryCode = coalesce(country, 'CA') and featureCode in ('PPLH', 'PPLQ', 'PPLW')),
  found as (select * from (select *, row_number() over (partition by mention_id, geonameId order by sr, r) k from hits where r <= 20) where k = 1),
  every as (select mention_id, geonameId, confidence, strategy, sr, r from found union all select mention_id, geonameId, confidence, 'fuzzy', 5, r from fz where r <= 20 and mention_id not in (select mention_id from found group by 1 having count(*) >= 5)),
  one as (select *, row_number() over (partition by mention_id, geonameId order by sr, r) k from every)
  select mention_id, geonameId, strategy, confidence, rk as rank from (select *, row_number() over (partition by mention_id order by confidence desc, sr, r, geonameId)::int rk from one where k = 1 and confidence >= 0.7) where rk <= 10""")
 def recon_smart(spark, d):
-    p = _plain_gazetteer(spark, d)
-    return reconcile.smart(_plain_requests(spark, d), p, _located(p))
+    p = _gazetteer(spark, d)
+    return reconcile.smart(_requests(spark, d), p, _located(p))
 
 
 # ---- people

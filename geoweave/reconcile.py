@@ -9,8 +9,6 @@ keeps its best 20 per request.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,12 +27,38 @@ def _best(df: DataFrame, order: list[Column], strategy: str, rank: int) -> DataF
     return df.select(*_KEEP, F.lit(strategy).alias("strategy"), F.lit(rank).alias("strategy_rank"), "place_rank")
 
 
-def _by_name(requests: DataFrame, places: DataFrame, wikidata: bool = True) -> DataFrame:
-    """Requests joined to the places that carry their name, main or alternate."""
+def _found(requests: DataFrame, places: DataFrame, strategies: list[str], located: DataFrame | None = None, default_country: str = "CA") -> DataFrame:
+    """The best 20 places per request and strategy, of those that rest on equal names.
+
+    Requests meet the index of main and alternate names once; every strategy is
+    a condition on the pairs so found, with its own confidence and order.
+    """
     none = F.array().cast("array<string>")
-    own = F.concat(F.array("name"), F.coalesce("alternateNames", none), F.coalesce("wikidataAlternateNames", none) if wikidata else none)
-    names = places.select("geonameId", F.explode(F.array_distinct(F.array_compact(own))).alias("wanted")).join(places, "geonameId")
-    return requests.withColumnsRenamed({"name": "wanted", "lat": "at_lat", "lon": "at_lon"}).join(names, "wanted")
+    main = F.array_compact(F.concat(F.array("name"), F.coalesce("alternateNames", none)))
+    extra = F.array_except(F.array_compact(F.coalesce("wikidataAlternateNames", none)), main)
+    tagged = lambda names, flag: F.transform(F.array_distinct(names), lambda x: F.struct(x.alias("wanted"), F.lit(flag).alias("extra")))
+    index = places.select(*[c for c in places.columns if c not in ("alternateNames", "wikidataAlternateNames")], F.inline(F.concat(tagged(main, False), tagged(extra, True))))
+    if located is not None:
+        index = index.join(located.groupBy(F.col("src").alias("geonameId")).agg(F.collect_set("division").alias("divisions")), "geonameId", "left")
+    j = requests.withColumnsRenamed({"name": "wanted", "lat": "at_lat", "lon": "at_lon"}).join(index, "wanted")
+    here = F.col("countryCode") == F.coalesce("country", F.lit(default_country))
+    radius = F.coalesce("radius_km", F.lit(50.0))
+    j = j.withColumn("km", F.round(geo.haversine_km(F.col("lat"), F.col("lon"), F.col("at_lat"), F.col("at_lon")), 3))
+    most = -F.col("population").cast("double")
+    rules = {
+        "exact": (1, _in_country(), F.lit(1.0), most, None),
+        "administrative": (2, ~F.col("extra") & here & F.exists("divisions", lambda x: x.contains(F.col("admin1"))) if located is not None else None, F.lit(0.95), most, None),
+        "geographic": (3, ~F.col("extra") & (F.col("km") <= radius), F.round(1 - F.col("km") / radius, 3), F.col("km"), None),
+        "historical": (4, F.col("historical") & here & (F.col("featureCode").isin(_GONE) | F.col("dissolvedDate").isNotNull()), F.lit(0.9), None, F.col("dissolvedDate")),
+    }
+    rows = []
+    for name in strategies:
+        rank, holds, confidence, number, text = rules[name]
+        number, text = F.lit(None) if number is None else number, F.lit(None) if text is None else text
+        rows.append(F.when(F.coalesce(holds, F.lit(False)), F.struct(confidence.alias("confidence"), F.lit(name).alias("strategy"), F.lit(rank).alias("strategy_rank"), number.cast("double").alias("_n"), text.cast("string").alias("_t"))))
+    hits = j.select(*[c for c in _KEEP if c not in ("confidence", "name")], F.col("name") if "name" in j.columns else F.lit(None).cast("string").alias("name"), F.inline(F.array_compact(F.array(*rows))))
+    w = Window.partitionBy("mention_id", "strategy").orderBy(F.col("_n").asc_nulls_last(), F.col("_t").desc_nulls_last(), "geonameId")
+    return hits.withColumn("place_rank", F.row_number().over(w)).where("place_rank <= 20").select(*_KEEP, "strategy", "strategy_rank", "place_rank")
 
 
 def _in_country(c: str = "country") -> Column:
@@ -42,30 +66,20 @@ def _in_country(c: str = "country") -> Column:
 
 
 def exact(requests: DataFrame, places: DataFrame) -> DataFrame:
-    j = _by_name(requests, places).where(_in_country()).withColumn("confidence", F.lit(1.0))
-    return _best(j, [F.col("population").desc_nulls_last()], "exact", 1)
+    return _found(requests, places, ["exact"])
 
 
 def administrative(requests: DataFrame, places: DataFrame, located: DataFrame, default_country: str = "CA") -> DataFrame:
     """``located``: (src place, division code or name)."""
-    r = requests.where("admin1 is not null").withColumn("country", F.coalesce("country", F.lit(default_country)))
-    j = _by_name(r, places, wikidata=False).where(F.col("countryCode") == F.col("country"))
-    j = j.join(located.select(F.col("src").alias("geonameId"), "division"), "geonameId").where(F.col("division").contains(F.col("admin1")))
-    j = j.dropDuplicates(["mention_id", "geonameId"]).withColumn("confidence", F.lit(0.95))
-    return _best(j, [F.col("population").desc_nulls_last()], "administrative", 2)
+    return _found(requests, places, ["administrative"], located, default_country)
 
 
 def geographic(requests: DataFrame, places: DataFrame) -> DataFrame:
-    r = requests.where("lat is not null and lon is not null")
-    j = _by_name(r, places, wikidata=False).withColumn("km", F.round(geo.haversine_km(F.col("lat"), F.col("lon"), F.col("at_lat"), F.col("at_lon")), 3))
-    j = j.where(F.col("km") <= F.coalesce("radius_km", F.lit(50.0))).withColumn("confidence", F.round(1 - F.col("km") / F.coalesce("radius_km", F.lit(50.0)), 3))
-    return _best(j, [F.col("km")], "geographic", 3)
+    return _found(requests, places, ["geographic"])
 
 
 def historical(requests: DataFrame, places: DataFrame, default_country: str = "CA") -> DataFrame:
-    r = requests.where("historical").withColumn("country", F.coalesce("country", F.lit(default_country)))
-    j = _by_name(r, places).where((F.col("countryCode") == F.col("country")) & (F.col("featureCode").isin(_GONE) | F.col("dissolvedDate").isNotNull()))
-    return _best(j.withColumn("confidence", F.lit(0.9)), [F.col("dissolvedDate").desc_nulls_last()], "historical", 4)
+    return _found(requests, places, ["historical"], default_country=default_country)
 
 
 def fuzzy(requests: DataFrame, places: DataFrame, edits: int = 2) -> DataFrame:
@@ -82,7 +96,7 @@ def smart(requests: DataFrame, places: DataFrame, located: DataFrame, threshold:
 
     Result: mention_id, geonameId, strategy, confidence, rank.
     """
-    found = reduce(DataFrame.unionByName, [exact(requests, places), administrative(requests, places, located), geographic(requests, places), historical(requests, places)])
+    found = _found(requests, places, ["exact", "administrative", "geographic", "historical"], located)
     order = [F.col("strategy_rank"), F.col("place_rank")]
     found = first_wins(found, ["mention_id", "geonameId", "wikidataId"], order)
     enough = found.groupBy("mention_id").agg(F.count(F.lit(1)).alias("n")).where("n >= 5")
