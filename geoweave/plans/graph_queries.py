@@ -323,11 +323,15 @@ def _case(col: str, d: dict, op: str) -> str:
     return " ".join(f"when {op.format(c=col, k=k)} then {v}" for k, v in d.items())
 
 
+# A label for all places but one in 33, so that every word of the table is met.
+_LABELS = list(scores.LABELS_HISTORICAL)
+_LABEL_SQL = "'Former ' || [" + ", ".join(f"'{k}'" for k in _LABELS) + f"][(p.geonameId % {len(_LABELS) + 1} + 1)::int]"
+
 _HIST = (
     f"""with {_near(25)}, c as (select * from (select near.*, row_number() over (partition by src order by km, dst) r from near) where r <= 50),
- j as (select c.*, w."name" b, p."name" a, p.population, upper(p.featureCode) code, upper(p.featureClass) cls from c join w on w.qid = c.src join p on p.geonameId = c.dst),
+ j as (select c.*, w."name" b, p."name" a, p.population, upper(p.featureCode) code, upper(p.featureClass) cls, {_LABEL_SQL} as label from c join w on w.qid = c.src join p on p.geonameId = c.dst),
  s as (select *, (case when km <= 0.5 then 1.0::double when km <= 2 then 0.9 when km <= 5 then 0.75 when km <= 10 then 0.5 when km <= 25 then 0.3 else 0.1 end) ds,
- coalesce(case {_case('code', scores.CODES_HISTORICAL, "{c} = '{k}'")} end, case {_case('cls', scores.CLASSES_HISTORICAL, "{c} = '{k}'")} end, 30) pr,
+ coalesce(case {_case('label', scores.LABELS_HISTORICAL, "contains(lower({c}), '{k}')")} end, case {_case('code', scores.CODES_HISTORICAL, "{c} = '{k}'")} end, case {_case('cls', scores.CLASSES_HISTORICAL, "{c} = '{k}'")} end, 30) pr,
  (case when coalesce(b, '') = '' then 0.5::double else """
     + _NAME.replace("greatest(len(list_distinct(list_filter(regexp_split_to_array(trim(lower(a)), '\\s+'), lambda x: x <> ''))), ", "(").replace("), 0), 0) end)", "), 0), 0) end)")
     + """ end) ns, (case when population >= 100000 then 1.3::double when population >= 10000 then 1.2 when population >= 1000 then 1.1 else 1.0 end) pw from j),
@@ -339,7 +343,8 @@ _HIST = (
 @query(_HIST)
 def hgis_top5(spark, d):
     pts = _src(spark, d).select("id", "name", "lat", "lon")
-    return linking.historical(pts, _dst(spark, d).withColumn("label", F.lit(None).cast("string"))).where("rank <= 5")
+    label = F.concat(F.lit("Former "), F.get(F.array(*[F.lit(k) for k in _LABELS]), F.pmod("id", F.lit(len(_LABELS) + 1)).cast("int")))
+    return linking.historical(pts, _dst(spark, d).withColumn("label", label)).where("rank <= 5")
 
 
 _OFFICE = "trim(regexp_replace(lower(trim(w.\"name\")), '\\s+(post office|p\\.?o\\.?|m\\.?p\\.?o\\.?).*$', ''))"
