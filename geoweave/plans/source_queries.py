@@ -14,6 +14,7 @@ from geoweave.operators import tables
 from geoweave.plans.base import _pid, _qid, entities, persons, places, query
 from geoweave.runtime import Scratch, in_force, table
 from geoweave.sources import documents, entity_dump, gazetteer, rdf, sparql
+from geoweave.streaming import increment
 
 
 def _folder(spark: SparkSession, label: str) -> str:
@@ -268,7 +269,7 @@ def src_fetch_by_ids(spark, d):
 def _people(spark: SparkSession, d: str) -> DataFrame:
     """Persons in force by their bare id, with the address that stands for them."""
     raw = table(spark, d, "historicalperson").withColumn("personId", ids.person_id(F.col("personId"))).where("personId is not null")
-    p = in_force(raw, "personId", ["name", "birthEvent"]).select("personId", "name", F.col("birthEvent.date").alias("born"), ids.person_id(F.col("birthEvent.motherId")).alias("mother"))
+    p = in_force(raw, "personId", ["name", "birthEvent", "occupations"]).select("personId", "name", "occupations", F.col("birthEvent.date").alias("born"), ids.person_id(F.col("birthEvent.motherId")).alias("mother"))
     return p.select("*", _address(F.col("personId")).alias("uri"), _address(F.col("mother")).alias("mother_uri"))
 
 
@@ -278,13 +279,28 @@ def _address(pid: Column) -> Column:
 
 
 _KEY = "case when {x} like 'viaf:%' or {x} like 'wd:%' then {x} else 'lincs:' || hex({x}) end"
-_FOLK = f"""folk as (select pid, "name", date born, m mother from (select *, row_number() over (partition by pid order by loadedAt desc nulls last) r from (select {_pid('personId')} pid, "name", birthEvent.date date, {_pid('birthEvent.motherId')} m, loadedAt from historicalperson)) where r = 1 and pid is not null)"""
+_FOLK = f"""folk as (select pid, "name", occupations, date born, m mother from (select *, row_number() over (partition by pid order by loadedAt desc nulls last) r from (select {_pid('personId')} pid, "name", occupations, birthEvent.date date, {_pid('birthEvent.motherId')} m, loadedAt from historicalperson)) where r = 1 and pid is not null)"""
 
 
 @query(f"""with {_FOLK} select {_KEY.format(x='a.pid')} person_id, case when a.pid like 'viaf:%' then 'VIAF' when a.pid like 'wd:%' then 'Wikidata' else 'LINCS' end id_type, coalesce(a."name", 'Unknown') "name", a.born, {_KEY.format(x='b.pid')} mother
  from folk a left join folk b on b.pid = a.mother and (a.born is not null or a.mother is not null)""".replace("else 'lincs:' || hex(b.pid) end mother", "when b.pid is not null then 'lincs:' || hex(b.pid) end mother"))
 def src_turtle_persons(spark, d):
-    """Persons and births as Turtle with prefixes, brackets and lists of predicates."""
+    return rdf.persons(_triples(spark, d)).select(F.col("personId").alias("person_id"), F.col("idType").alias("id_type"), "name", F.col("birthEvent.date").alias("born"), F.col("birthEvent.motherId").alias("mother"))
+
+
+@query(f"""with {_FOLK} select case when pid like 'viaf:%' then 'VIAF' when pid like 'wd:%' then 'Wikidata' else 'LINCS' end id_type, count(*)::bigint n from folk where born is not null or mother is not null group by 1""")
+def src_turtle_plausible(spark, d):
+    return rdf.plausible(rdf.persons(_triples(spark, d))).groupBy(F.col("idType").alias("id_type")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""with {_FOLK} select {_KEY.format(x='pid')} person_id, "name", coalesce(array_to_string(list_sort(occupations), ';'), '') roles from folk""")
+def src_turtle_agents(spark, d):
+    roles = F.array_join(F.array_sort(F.transform("occupations", lambda o: o["role"])), ";")
+    return rdf.agents(_triples(spark, d)).select(F.col("lincsId").alias("person_id"), "name", F.coalesce(roles, F.lit("")).alias("roles"))
+
+
+def _triples(spark: SparkSession, d: str) -> DataFrame:
+    """Persons, births and activities as Turtle with prefixes, brackets and lists of predicates, read back."""
     p = _people(spark, d)
     text_of = lambda c: F.when(F.col(c).isNotNull(), F.expr(f"substr(to_json(array({c})), 2, length(to_json(array({c}))) - 2)"))
     iri = lambda c: F.concat(F.lit("<"), c, F.lit(">"))
@@ -296,9 +312,9 @@ def src_turtle_persons(spark, d):
     path = _folder(spark, "turtle")
     # A file is read whole by one task: some thousand persons each.
     n = max(1, table(spark, d, "historicalperson").count() // 5000)
-    p.select(F.concat(head, who, birth).alias("value")).repartition(n).write.text(path)
-    t = Scratch(spark, "triples").save(rdf.turtle(spark, path), "triples")
-    return rdf.persons(t).select(F.col("personId").alias("person_id"), F.col("idType").alias("id_type"), "name", F.col("birthEvent.date").alias("born"), F.col("birthEvent.motherId").alias("mother"))
+    jobs = F.array_join(F.transform("occupations", lambda o: F.concat(F.lit(' [] a crm:E7_Activity ; rdfs:label "'), o, F.lit(' occupation of someone" ; crm:P14_carried_out_by '), iri(F.col("uri")), F.lit(" ."))), "")
+    p.select(F.concat(head, who, birth, F.coalesce(jobs, F.lit(""))).alias("value")).repartition(n).write.text(path)
+    return Scratch(spark, "triples").save(rdf.turtle(spark, path), "triples")
 
 
 @query(f"""with {_FOLK} select 'label' what, count(*)::bigint n from folk where "name" is not null union all select 'mother', count(*) from folk where mother is not null""")
@@ -369,3 +385,47 @@ def fn_truthy(spark, d):
     """Non-zero truth of numbers: null, 0 and no number count as false."""
     true = lambda c: F.coalesce((F.col(c) != 0) & ~F.isnan(c), F.lit(False))
     return table(spark, d, "place").where("geonameId is not null").select("geonameId", "latitude", "longitude", (true("latitude") & true("longitude")).alias("usable"), F.coalesce(ids.qid(F.col("wikidataId")), F.lit("")).alias("qid"))
+
+
+# ---- tables that grow, and incremental ingest
+
+
+@query("select 'appended' step, count(*)::bigint n from place union all select 'cleared', 0 union all select 'loaded', count(*)::bigint from place where geonameId % 2 = 0")
+def sink_append_and_clear(spark, d):
+    """A table loaded with half of place, with the rest appended, and emptied."""
+    t = table(spark, d, "place").select("geonameId", "name")
+    even, path = F.coalesce(F.pmod("geonameId", F.lit(2)) == 0, F.lit(False)), _folder(spark, "table")
+    counts = []
+    for step, write in (("loaded", lambda: t.where(even).write.parquet(path)), ("appended", lambda: t.where(~even).write.mode("append").parquet(path)), ("cleared", lambda: t.limit(0).write.mode("overwrite").parquet(path))):
+        write()
+        counts.append((step, spark.read.schema(t.schema).parquet(path).count()))
+    return spark.createDataFrame(counts, "step string, n long")
+
+
+@query("select code child, parent from (select code, unnest([qid, \"name\"]) parent from country) where parent is not null")
+def src_adjacency(spark, d):
+    path = _folder(spark, "adjacency")
+    pairs = table(spark, d, "country").where("code is not null").select(F.struct("code", F.array_compact(F.array("qid", "name"))).alias("e"))
+    pairs.agg(F.to_json(F.map_from_entries(F.collect_list("e"))).alias("value")).coalesce(1).write.text(path)
+    return documents.adjacency(spark, path)
+
+
+_DAY = "(select * from (select *, row_number() over (partition by geonameId order by loadedAt desc nulls last) r from place where geonameId is not null and {cut}) where r = 1)"
+
+
+@query(f"""with a as (select * from {_DAY.format(cut="loadedAt < '2024-01-01'")} where latitude is not null and longitude is not null), b as (select * from {_DAY.format(cut="loadedAt >= '2024-01-01'")} where latitude is not null and longitude is not null)
+ select coalesce(b.geonameId, a.geonameId) geonameId, coalesce(nullif(b."name", ''), nullif(a."name", '')) "name", coalesce(b.population, a.population, 0) population, coalesce(nullif(b.countryCode, ''), nullif(a.countryCode, '')) country
+ from a full join b on a.geonameId = b.geonameId where coalesce(b.geonameId, a.geonameId) % 10 <> 3""")
+def stream_ingest(spark, d):
+    """Two days of changed places and one of removals, each taken in by a run of its own."""
+    folder = _folder(spark, "stream")
+    t = table(spark, d, "place").where("geonameId is not null")
+    cols = ["name", "latitude", "longitude", "countryCode", "population", "modifiedDate"]
+    for day, cut in ((1, F.col("loadedAt") < F.lit("2024-01-01").cast("timestamp_ntz")), (2, F.col("loadedAt") >= F.lit("2024-01-01").cast("timestamp_ntz"))):
+        rows = in_force(t.where(cut), "geonameId", cols).withColumnsRenamed({"geonameId": "geonameid", "countryCode": "country_code", "modifiedDate": "modification_date"})
+        gazetteer.write(rows, f"{folder}/day{day}")
+        increment.changes(spark, f"{folder}/day{day}", f"{folder}/table", f"{folder}/seen{day}")
+    gone = t.where("pmod(geonameId, 10) = 3").select(F.concat_ws("\t", F.col("geonameId").cast("string"), F.lit("x"), F.lit("removed")).alias("value")).distinct()
+    gone.write.text(f"{folder}/removed")
+    increment.removals(spark, f"{folder}/removed", f"{folder}/table", f"{folder}/seen")
+    return increment.current(spark, f"{folder}/table").select("geonameId", "name", "population", F.col("countryCode").alias("country"))
