@@ -205,3 +205,28 @@ def test_identifier_notations(spark):
 def test_in_force(spark):
     df = spark.createDataFrame([(1, "old", "2023-01-01", 9), (1, "new", "2024-01-01", 9), (1, "late", None, 9), (2, "only", None, 9), (None, "x", "2024-01-01", 9)], "k int, v string, t string, extra int").withColumn("loadedAt", F.col("t").cast("timestamp_ntz"))
     assert rows(in_force(df, "k", ["v"])) == [(1, "new"), (2, "only")]
+
+
+def test_regions_with_long_outlines(spark, scratch):
+    """A star of many edges, one with a hole, and one box, over points that need several levels."""
+    import math
+
+    r = random.Random(3)
+    star = [(30 + (9 if i % 2 else 4) * math.cos(i * math.pi / 60), 40 + (9 if i % 2 else 4) * math.sin(i * math.pi / 60)) for i in range(120)]
+    ring = lambda ps: "(" + ", ".join(f"{x!r} {y!r}" for x, y in [*ps, ps[0]]) + ")"
+    box = lambda a, b: [(a, a), (b, a), (b, b), (a, b)]
+    regions = [(1, f"POLYGON({ring(star)})"), (2, f"POLYGON({ring(box(20, 45))}, {ring(box(25, 40))})"), (3, f"POLYGON({ring(box(-60, -59))})"), (4, "POLYGON EMPTY"), (5, None)]
+    pts = [(i, 40 + r.gauss(0, 6), 30 + r.gauss(0, 6)) for i in range(1500)] + [(5000 + i, 40.0 + i % 7 * 1e-7, 30.0) for i in range(300)] + [(9000, -59.5, -59.5)]
+    zones = spark.createDataFrame(regions, "region_id long, boundary string").select("region_id", geo.polygon_edges(F.col("boundary")).alias("edges"))
+    got = rows(dualtree.points_in_regions(spark.createDataFrame(pts, "id long, lat double, lon double"), zones, scratch, leaf_cap=16))
+
+    def inside(x, y, loops):
+        hit = False
+        for ps in loops:
+            for (x1, y1), (x2, y2) in zip(ps, [*ps[1:], ps[0]]):
+                if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                    hit = not hit
+        return hit
+
+    want = sorted((z, i) for z, loops in ((1, [star]), (2, [box(20, 45), box(25, 40)]), (3, [box(-60, -59)])) for i, la, lo in pts if inside(lo, la, loops))
+    assert got == want and len({z for z, _ in got}) == 3

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from geoweave import linking, reconcile
-from geoweave.operators import cells, graph, tables
+from geoweave.functions import geo
+from geoweave.operators import cells, graph, inverted, tables
 from geoweave.operators.edits import within_edits
 from tests.test_core_problems import km, rows
 
@@ -80,7 +81,7 @@ def test_hierarchy_edges(spark):
 def test_walks_and_closure(spark, scratch):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d")], "src string, dst string")
     w = graph.walk(e, spark.createDataFrame([("a",)], "node string"), 3, 0)
-    assert rows(w.select("node", "hops")) == [("a", 0), ("b", 1), ("c", 2), ("d", 3)]
+    assert rows(w.select("node", "hops")) == [("a", 0), ("a", 3), ("b", 1), ("c", 2), ("d", 3)]
     got = rows(graph.closure(e, scratch))
     assert got == sorted((x, y) for x in "abc" for y in "abcd")
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "src int, dst int")
@@ -120,3 +121,38 @@ def test_reconcile(spark):
     assert got == [(1, 1, "exact"), (1, 4, "exact"), (1, 3, "fuzzy"), (2, 1, "fuzzy"), (2, 2, "fuzzy"), (2, 3, "fuzzy")]
     assert [r.geonameId for r in reconcile.historical(req, places).collect()] == [4]
     assert reconcile.smart(req.limit(0), places, located).count() == 0
+
+
+def test_walks_use_no_edge_twice(spark):
+    e = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", "c")], "src string, dst string")
+    start = spark.createDataFrame([("a",), ("c",)], "node string")
+    assert rows(graph.walk(e, start, 3, 0).select("start", "node", "hops")) == [("a", "a", 0), ("a", "a", 2), ("a", "b", 1), ("c", "c", 0), ("c", "c", 1)]
+    both = spark.createDataFrame([("a", "b", 1), ("b", "a", 1), ("b", "d", 2), ("d", "b", 2)], "src string, dst string, edge int")
+    assert rows(graph.walk(both, start, 2, 2).select("start", "node")) == [("a", "d")]
+    assert graph.walk(e, start.limit(0), 2, 0).count() == 0
+
+
+@pytest.mark.parametrize("k", [1, 3, 10])
+def test_nearest_against_all_pairs(spark, k):
+    r = random.Random(k)
+    # Uneven: one spot that very many share, a dense town, the date line, a pole.
+    pts = [(i, 10.0, 20.0) for i in range(60)] + [(100 + i, 10 + r.gauss(0, 0.004), 20 + r.gauss(0, 0.004)) for i in range(200)] + [(400 + i, r.uniform(-1, 1), (179.9 + r.uniform(0, 0.2) + 180) % 360 - 180) for i in range(60)]
+    pts += [(600 + i, 89.97 + r.uniform(0, 0.03), r.uniform(-180, 180)) for i in range(30)] + [(700 + i, r.uniform(-80, 80), r.uniform(-180, 180)) for i in range(30)] + [(800, None, 1.0), (801, float("nan"), 1.0), (802, 95.0, 1.0)]
+    src = spark.createDataFrame([(-i, a, o) for i, a, o in pts[::3]], "id long, lat double, lon double")
+    dst = spark.createDataFrame(pts, "id long, lat double, lon double")
+    assert rows(cells.knn(src, dst, 10.0, k)) == rows(cells.nearest(cells.radius_join(src, dst, 10.0), k))
+
+
+def test_word_index(spark, scratch):
+    t = spark.createDataFrame([(1, "Школа у моста, school"), (2, "school school bridge"), (3, None), (4, ""), (5, "straße")], "id int, text string")
+    index = inverted.word_index(t, "id", "text", scratch)
+    assert rows(index.where("term = 'school'")) == [("school", 1, 1), ("school", 2, 2)]
+    assert [(r.id, r.terms) for r in inverted.search_words(index, ["SCHOOL", "школа"], least=2).collect()] == [(1, 2)] and inverted.search_words(index, ["none"]).count() == 0
+    empty = inverted.word_index(t.limit(0), "id", "text", scratch)
+    assert inverted.search_words(empty, ["school"]).count() == 0
+
+
+def test_repaired_positions(spark):
+    t = spark.createDataFrame([(10.0, 20.0), (120.0, 20.0), (200.0, 200.0), (None, 1.0), (float("nan"), 1.0)], "a double, o double")
+    got = [tuple(r[0]) if r[0] else None for r in t.select(geo.repaired(F.col("a"), F.col("o"))).collect()]
+    assert got == [(10.0, 20.0, "kept"), (20.0, 120.0, "swapped"), None, None, None]
