@@ -646,10 +646,13 @@ def active_in_year(spark, d):
     return w.where("a <= year and (z is null or z >= year)").groupBy("year").agg(F.count(F.lit(1)).alias("active"))
 
 
-@query("select term, count(distinct doc_id)::bigint documents, count(*)::bigint occurrences from (select doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) term from documents) where length(term) >= 4 group by 1")
+@query("select term, count(distinct doc_id)::bigint documents, count(*)::bigint occurrences from (select doc_id, unnest(regexp_split_to_array(lower(text), '[^\\pL\\pN]+')) term from documents) where term <> '' group by 1")
 def fulltext_terms(spark, d):
-    t = table(spark, d, "documents").select("doc_id", F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("term")).where(F.length("term") >= 4)
-    return t.groupBy("term").agg(F.countDistinct("doc_id").alias("documents"), F.count(F.lit(1)).alias("occurrences"))
+    """Words of every length and script in whole texts."""
+    t = table(spark, d, "documents").select("doc_id", F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("term")).where("term <> ''")
+    # Occurrences of a document are counted before documents are: each (term, document) travels once.
+    n = t.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    return n.groupBy("term").agg(F.count(F.lit(1)).alias("documents"), F.sum("n").alias("occurrences"))
 
 
 @query("""with q as (select vec_id, embedding::double[] e from embeddings where vec_id % 100 = 0), s as (select q.vec_id query_id, b.vec_id, round(list_cosine_similarity(q.e, b.embedding::double[]), 6) similarity from q join embeddings b on b.vec_id <> q.vec_id)
