@@ -22,9 +22,9 @@ def places_in_force(spark: SparkSession, d: str, columns: list[str]) -> DataFram
 
 def positions(spark: SparkSession, d: str) -> DataFrame:
     """(id, lat, lon) of the places in force that have a position."""
-    p = places_in_force(spark, d, ["location", "latitude", "longitude"])
     at = geo.position(F.col("location"), F.col("latitude"), F.col("longitude"))
-    return p.select(F.col("geonameId").alias("id"), at.alias("at")).where("at is not null").select("id", "at.lat", "at.lon")
+    p = table(spark, d, "place").select("geonameId", "loadedAt", at.alias("at")).select("geonameId", "loadedAt", "at.lat", "at.lon")
+    return in_force(p, "geonameId", ["lat", "lon"]).where("lat is not null and lon is not null").select(F.col("geonameId").alias("id"), "lat", "lon")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:

@@ -14,6 +14,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, NumericType
 
 _KEY = "spark.checkpoint.dir"
 _kept: dict[str, SparkSession] = {}
@@ -92,6 +93,9 @@ def in_force(df: DataFrame, key: str, columns: list[str], stamp: str = "loadedAt
     """
     rest = [c for c in columns if c != key]
     order = F.coalesce(F.col(stamp).cast("timestamp_ntz"), F.lit("0001-01-01").cast("timestamp_ntz"))
+    if rest and all(isinstance(df.schema[c].dataType, (NumericType, BooleanType)) for c in rest):
+        # Plain numbers aggregate in place, by hash; every column takes the same row, since all see the same order.
+        return df.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.max_by(c, order).alias(c) for c in rest])
     best = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("_r"))
     return best.select(key, *[F.col("_r")[c].alias(c) for c in rest])
 
