@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from geoweave import linking, reconcile
 from geoweave.functions import geo, ids, scores
-from geoweave.functions.text import office_name
 from geoweave.operators import cells, graph, tables
 from geoweave.operators.edits import within_edits
 from geoweave.plans.base import QUERIES, entities, km_sql, persons, places, query  # noqa: F401
