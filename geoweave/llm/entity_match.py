@@ -32,7 +32,7 @@ CHUNKS, BITS, APART = 13, 9, 12
 #: Chunks that a long holds.
 _PER = 7
 #: Least calibrated confidence of a match.
-ACCEPT = 0.2
+ACCEPT = 0.05
 #: Vectors of one side of a cell that one task compares at most.
 BLOCK = 10_000
 #: Two records of one thing lie at most this far apart; less where the spelling differs.
