@@ -79,11 +79,13 @@ def walk(edges: DataFrame, start: DataFrame, most: int, least: int = 1) -> DataF
     """
     e = edges.select(F.col("src").alias("node"), "dst", (F.col("edge") if "edge" in edges.columns else F.struct("src", "dst")).alias("_e"))
     here = start.select(F.col("node").alias("start"), "node", F.lit(0).alias("hops"), F.array("node").alias("path"))
-    here = here.withColumn("_used", F.array().cast(f"array<{e.schema['_e'].dataType.simpleString()}>"))
-    steps = [here.drop("_used")] if least == 0 else []
+    steps = [here] if least == 0 else []
     for n in range(1, most + 1):
-        here = here.join(e, "node").where(~F.exists("_used", lambda u: u == F.col("_e")))
-        here = here.select("start", F.col("dst").alias("node"), F.lit(n).alias("hops"), F.concat("path", F.array("dst")).alias("path"), F.concat("_used", F.array("_e")).alias("_used"))
+        here = here.join(e, "node")
+        used = F.array("_e")
+        if n > 1:
+            here, used = here.where(~F.array_contains("_used", F.col("_e"))), F.concat("_used", used)
+        here = here.select("start", F.col("dst").alias("node"), F.lit(n).alias("hops"), F.concat("path", F.array("dst")).alias("path"), used.alias("_used"))
         if n >= least:
             steps.append(here.drop("_used"))
     return reduce(DataFrame.unionByName, steps)
