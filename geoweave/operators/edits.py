@@ -1,8 +1,10 @@
 """Pairs of strings within a few edits, without comparing all pairs.
 
 A string within k edits of another keeps at least one of k + 1 pieces of it
-unchanged, moved by at most k positions.  Pieces of one side are matched by an
-equi-join with the substrings of the other that they could be.
+unchanged: the first one whose errors up to it are fewer than the pieces, with
+exactly i errors before piece i and at most k - i behind it.  So the piece moves
+by at most that much, counted from either end.  Pieces of one side are matched
+by an equi-join with the substrings of the other that they could be.
 """
 
 from __future__ import annotations
@@ -19,29 +21,54 @@ def _piece(n: Column, i: int, parts: int) -> tuple[Column, Column]:
     return (base * i + more).cast("int"), size.cast("int")
 
 
+def _letters(x: Column) -> Column:
+    """Two bits for each of 32 sorts of letters: one of them, two or more. An edit changes at most two bits."""
+    two = lambda c: F.when(c == "", F.lit(0)).otherwise(F.pmod(F.ascii(c), F.lit(32)) * 2)
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("bigint"), two(c))
+    add = lambda m, c: m.bitwiseOR(F.when(m.bitwiseAND(bit(c)) == 0, bit(c)).otherwise(F.shiftleft(bit(c), 1)))
+    return F.aggregate(F.filter(F.split(x, ""), lambda c: c != ""), F.lit(0).cast("bigint"), add)
+
+
+def _spread(df: DataFrame, c: str) -> DataFrame:
+    """Distinct strings in as many parts as a shuffle has: each becomes many rows, which sizes before do not show.
+
+    Parted by a hash of the string: by the string itself, the planner takes the parts of the distinct step and merges them.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.select(c).where(F.col(c).isNotNull()).distinct().repartition(parts, F.xxhash64(c))
+
+
 def within_edits(left: DataFrame, right: DataFrame, k: int = 2) -> DataFrame:
     """(a, b, distance) of the distinct strings of ``left.a`` and ``right.b`` at most k edits apart.
 
-    Exact for every length, also empty strings; nulls match nothing.
+    Exact for every length, also empty strings; nulls match nothing.  Keys are
+    hashes and letters are compared first: both only name candidates.  The join
+    is hinted: sizes known before the pieces are cut are far too low, so the
+    planner would broadcast a side that the driver cannot hold.
     """
     parts = k + 1
-    b = right.select("b").where("b is not null").distinct().withColumn("n", F.length("b"))
+    b = _spread(right, "b").select("b", _letters(F.col("b")).alias("b_letters"), F.length("b").alias("n"))
     keys = []
     for i in range(parts):
         start, size = _piece(F.col("n"), i, parts)
-        keys.append(F.struct(F.col("n").alias("n"), F.lit(i).alias("i"), F.substr(F.col("b"), start + 1, size).alias("s")))
-    index = b.select("b", F.inline(F.array(*keys)))
-    a = left.select("a").where("a is not null").distinct().withColumn("len", F.length("a"))
-    a = a.withColumn("n", F.explode(F.sequence(F.greatest(F.lit(0), F.col("len") - k), F.col("len") + k)))
-    probes = []
-    for i in range(parts):
-        start, size = _piece(F.col("n"), i, parts)
-        at = F.sequence(F.greatest(F.lit(0), start - k), F.greatest(F.lit(0), start + k))
-        probes.append(_probe(at, i, size))
-    probe = a.select("a", "n", F.inline(F.array_distinct(F.concat(*probes))))
-    met = probe.join(index, ["n", "i", "s"]).select("a", "b").distinct()
-    return met.withColumn("distance", F.levenshtein("a", "b", k)).where("distance between 0 and " + str(k))
+        keys.append(_key(F.col("n"), i, F.substr(F.col("b"), start + 1, size)))
+    index = b.select("b", "b_letters", F.explode(F.array(*keys)).alias("key"))
+    a = _spread(left, "a").select("a", _letters(F.col("a")).alias("a_letters"), F.length("a").alias("len"))
+    probes = [_probes(F.col("len") - more, more, i, k) for more in range(-k, k + 1) for i in range(parts)]
+    probe = a.select("a", "a_letters", F.explode(F.array_distinct(F.concat(*probes))).alias("key"))
+    alike = F.bit_count(F.col("a_letters").bitwiseXOR(F.col("b_letters"))) <= 2 * k
+    met = probe.hint("merge").join(index.hint("merge"), "key").where(alike).select("a", "b")
+    return met.withColumn("distance", F.levenshtein("a", "b", k)).where("distance between 0 and " + str(k)).distinct()
+
+
+def _key(n: Column, i: int, piece: Column) -> Column:
+    return F.xxhash64(n.cast("int"), F.lit(i), piece)
 
 
-def _probe(at: Column, i: int, size: Column) -> Column:
-    return F.transform(at, lambda p: F.struct(F.lit(i).alias("i"), F.substr(F.col("a"), p + 1, size).alias("s")))
+def _probes(n: Column, more: int, i: int, k: int) -> Column:
+    """Keys of the substrings of ``a``, ``more`` letters longer than n, that piece i of a string of n letters could be."""
+    start, size = _piece(n, i, k + 1)
+    first = F.greatest(F.lit(0), start + max(-i, more - (k - i)))
+    last = F.least(F.col("len") - size, start + min(i, more + (k - i)))
+    at = F.when((n >= 0) & (first <= last), F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    return F.transform(at, lambda p: _key(n, i, F.substr(F.col("a"), p + 1, size)))
