@@ -433,7 +433,7 @@ _SMART = f"""{_ROWS}, pp as (select * from {{p}}),
 
 @query("with " + _SMART + " select mention_id, geonameId, confidence, r as place_rank from fz where r <= 20")
 def recon_fuzzy(spark, d):
-    return reconcile.fuzzy(_requests(spark, d), _gazetteer(spark, d)).select("mention_id", "geonameId", "confidence", "place_rank")
+    return reconcile.fuzzy(_requests(spark, d), places(spark, d, "name countryCode population wikidataId")).select("mention_id", "geonameId", "confidence", "place_rank")
 
 
 @query("with " + _SMART + f""", hits as (

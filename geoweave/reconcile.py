@@ -83,11 +83,23 @@ def historical(requests: DataFrame, places: DataFrame, default_country: str = "C
 
 
 def fuzzy(requests: DataFrame, places: DataFrame, edits: int = 2) -> DataFrame:
-    """Distances are between distinct lower-case names; pieces shared by an equi-join name the candidates."""
-    r = requests.select("mention_id", "country", F.lower("name").alias("a"), F.length("name").alias("size"))
-    p = places.withColumn("b", F.lower("name"))
+    """Distances are between distinct lower-case names; pieces shared by an equi-join name the candidates.
+
+    The best places depend on name and country alone, so they are ranked once
+    for all requests that share both; of the places of one name and country no
+    more than the first 20 can be among them.  The joins are hinted, as sizes
+    are not known before names have met.
+    """
+    r = requests.select("mention_id", F.col("country").alias("wanted"), F.lower("name").alias("a"), F.length("name").alias("size"))
+    p = places.select("geonameId", "wikidataId", "name", "population", "countryCode", F.lower("name").alias("b"))
     near = within_edits(r, p, edits)
-    j = r.join(near, "a").join(p, "b").where(_in_country()).withColumn("confidence", F.round(1 - F.try_divide(F.col("distance").cast("double"), F.col("size")), 3))
+    first = lambda df, keys, *order: df.withColumn("place_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order, F.col("population").desc_nulls_last(), "geonameId"))).where("place_rank <= 20")
+    p = first(p.where("b is not null"), ["b", "countryCode"]).drop("place_rank")
+    asked = r.select("a", "wanted").where("a is not null").distinct()
+    j = asked.join(near.hint("merge"), "a").join(p.hint("merge"), "b").where(F.col("wanted").isNull() | (F.col("countryCode") == F.col("wanted")))
+    best = first(j, ["a", "wanted"], F.col("distance")).select(F.col("a").alias("_a"), F.col("wanted").alias("_wanted"), *[c for c in _KEEP if c not in ("mention_id", "confidence")], "distance")
+    j = r.join(best.hint("merge"), (F.col("a") == F.col("_a")) & F.col("wanted").eqNullSafe(F.col("_wanted")))
+    j = j.withColumn("confidence", F.round(1 - F.try_divide(F.col("distance").cast("double"), F.col("size")), 3))
     return _best(j, [F.col("distance"), F.col("population").desc_nulls_last()], "fuzzy", 5)
 
 

@@ -2,6 +2,7 @@
 
 import random
 
+from geoweave import reconcile
 from geoweave.operators.edits import within_edits
 
 
@@ -16,3 +17,20 @@ def test_pieces_of_names_are_not_broadcast(spark):
     got = within_edits(spark.createDataFrame([(w,) for w in names], "a string"), spark.createDataFrame([(w[:5] + w[6:],) for w in names], "b string"))
     assert "Broadcast" not in plan(got)
     assert {(w, w[:5] + w[6:], 1) for w in names} <= set(map(tuple, got.collect()))
+
+
+def test_fuzzy_ranks_namesakes_once_and_broadcasts_nothing(spark):
+    """500 namesakes a country and 60 requests for them: each request's best 20 over countries, one with two rows of its own."""
+    p = [(n, f"Q{n}", "Aberdon", "XA" if n % 2 else "XB", None if n % 50 == 0 else n % 97) for n in range(1000)] + [(2000, None, "Aberden", None, 10**6), (2001, None, None, "XA", 1)]
+    places = spark.createDataFrame(p, "geonameId long, wikidataId string, name string, countryCode string, population long")
+    asked = [(m, "aberdon" if m % 3 else "Aberdonn", (None, "XA", "XB")[m % 4 % 3]) for m in range(60)] + [(7, "Aberdo", "XB"), (90, None, None)]
+    got = reconcile.fuzzy(spark.createDataFrame(asked, "mention_id long, name string, country string"), places)
+    steps = plan(got)
+    assert "Broadcast" not in steps
+    edits = {("aberdon", "aberdon"): 0, ("aberdon", "aberden"): 1, ("aberdonn", "aberdon"): 1, ("aberdonn", "aberden"): 2, ("aberdo", "aberdon"): 1, ("aberdo", "aberden"): 2}
+    want = []
+    for m in {m for m, name, _ in asked if name}:
+        rows = [(d, -1 if x is None else x, g, round(1 - d / len(name), 3)) for i, name, c in asked if i == m for g, _, b, code, x in p if b and (c is None or c == code) for d in [edits[name.lower(), b.lower()]]]
+        rows.sort(key=lambda x: (x[0], -x[1], x[2]))
+        want += [(m, g, confidence, k + 1) for k, (_, _, g, confidence) in enumerate(rows[:20])]
+    assert sorted(map(tuple, got.select("mention_id", "geonameId", "confidence", "place_rank").collect())) == sorted(want)
