@@ -11,6 +11,8 @@ from geoweave.runtime import Scratch
 
 #: Admin columns, coarsest first; a division of level n is keyed by country and the first n.
 ADMIN = ["admin1Code", "admin2Code", "admin3Code", "admin4Code"]
+#: Into so many parts the places of one division go when they meet it.
+SLICES = 8
 
 
 def divisions(places: DataFrame) -> DataFrame:
@@ -35,17 +37,38 @@ def code_divisions(places: DataFrame) -> DataFrame:
     return places.select(F.explode(F.array_compact(F.array(*rows))).alias("d")).select("d.*").distinct()
 
 
-def located_in(places: DataFrame, level: int) -> DataFrame:
-    """(src, dst) from every place that is no division to its division of that level.
+def located(places: DataFrame, levels: tuple[int, ...] = (1, 2, 3, 4)) -> DataFrame:
+    """(level, src, dst), distinct: every place that is no division in its divisions of these levels.
 
-    Divisions are few beside places; the join is left to the planner's size
-    check.  Missing codes match nothing.  Where two divisions share a key, each
-    gets an edge.
+    Missing codes match nothing.  Where two divisions share a key, each gets an
+    edge, so there are many more edges than places: they are never shuffled.
+    Rows of one id are gathered before the join instead; where both ids have
+    several keys, the least that they share gives the edge.  Divisions are few
+    beside places: each is copied to every slice of a country's places.
     """
-    keys = ["countryCode", *ADMIN[:level]]
-    d = divisions(places).where(F.col("level") == level).select(*keys, F.col("geonameId").alias("dst"))
-    p = places.where(F.coalesce(F.col("featureClass") != "A", F.lit(False))).select(*keys, F.col("geonameId").alias("src"))
-    return p.join(d, keys).select("src", "dst").distinct()
+    d = divisions(places).where(F.col("level").isin(*levels))
+    key = F.filter(F.array("countryCode", *ADMIN), lambda x, i: i <= F.col("level"))
+    d = _keys(d.select(F.col("geonameId").alias("dst"), F.array(F.struct("level", key.alias("key"))).alias("keys")), "dst")
+    d = d.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
+    ok = lambda n: F.forall(F.array("countryCode", *ADMIN[:n]), lambda x: x.isNotNull())
+    at = [F.when(ok(n), F.struct(F.lit(n).alias("level"), F.array("countryCode", *ADMIN[:n]).alias("key"))) for n in levels]
+    p = places.where(F.coalesce(F.col("featureClass") != "A", F.lit(False)))
+    p = _keys(p.select(F.col("geonameId").alias("src"), F.array_compact(F.array(*at)).alias("keys")), "src").withColumn("slice", F.pmod(F.xxhash64("src"), F.lit(SLICES)).cast("int"))
+    once = F.col("src_keys").isNull() | F.col("dst_keys").isNull() | (F.col("key") == F.array_min(F.array_intersect("src_keys", "dst_keys")))
+    return p.join(d, ["level", "key", "slice"]).where(once).select("level", "src", "dst")
+
+
+def _keys(df: DataFrame, c: str) -> DataFrame:
+    """(c, level, key), distinct, from (c, keys); ``{c}_keys`` has all keys of that level where there are several."""
+    every = F.array_distinct(F.flatten(F.collect_set("keys")))
+    df = df.groupBy(c).agg(every.alias("keys")).select(c, "keys", F.inline("keys"))
+    same = F.transform(F.filter("keys", lambda x: x["level"] == F.col("level")), lambda x: x["key"])
+    return df.select(c, "level", "key", F.when(F.size(same) > 1, same).alias(f"{c}_keys"))
+
+
+def located_in(places: DataFrame, level: int) -> DataFrame:
+    """(src, dst) from every place that is no division to its divisions of that level."""
+    return located(places, (level,)).select("src", "dst")
 
 
 def part_of(places: DataFrame) -> DataFrame:

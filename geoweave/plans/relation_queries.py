@@ -33,9 +33,7 @@ _LOCATED = " union all ".join(f"select distinct {n} as level, a.geonameId src, b
 @query(f"with {_CODED} {_LOCATED}")
 def hier_located_in(spark, d):
     """Every place in its divisions of level 1 to 4."""
-    c = _coded(spark, d)
-    parts = [graph.located_in(c, n).select(F.lit(n).alias("level"), "src", "dst") for n in (1, 2, 3, 4)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return graph.located(_coded(spark, d))
 
 
 @query(f"with {_CODED} select distinct a.geonameId src, b.geonameId dst from c a join c b on a.cc = b.cc and a.a2 = b.a2 where a.featureClass <> 'A' and b.featureCode = 'ADM2'")

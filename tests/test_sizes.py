@@ -3,6 +3,7 @@
 import random
 
 from geoweave import reconcile
+from geoweave.operators import graph
 from geoweave.operators.edits import within_edits
 
 
@@ -34,3 +35,18 @@ def test_fuzzy_ranks_namesakes_once_and_broadcasts_nothing(spark):
         rows.sort(key=lambda x: (x[0], -x[1], x[2]))
         want += [(m, g, confidence, k + 1) for k, (_, _, g, confidence) in enumerate(rows[:20])]
     assert sorted(map(tuple, got.select("mention_id", "geonameId", "confidence", "place_rank").collect())) == sorted(want)
+
+
+def test_edges_of_the_hierarchy_are_not_shuffled(spark):
+    """Each place and division once, some with rows of two keys: pairs stay distinct without gathering them."""
+    r = random.Random(4)
+    code = lambda: r.choice(["1", "2", None])
+    made = [(n % 150, r.choice(["P", "S", "A", None]), r.choice(["XA", "XB", None]), code(), code(), code(), code()) for n in range(400)]
+    rows = [(i, k, f"ADM{1 + i % 4}" if k == "A" else None, *x) for i, k, *x in made]
+    places = spark.createDataFrame(rows, "geonameId long, featureClass string, featureCode string, countryCode string, admin1Code string, admin2Code string, admin3Code string, admin4Code string")
+    got = graph.located(places)
+    steps = plan(got)
+    assert "Aggregate" not in steps[: steps.index("Join")]
+    full = lambda x, n: x[3 : n + 4] if None not in x[3 : n + 4] else None
+    want = {(n, a[0], b[0]) for n in (1, 2, 3, 4) for a in rows for b in rows if a[1] and a[1] != "A" and b[2] == f"ADM{n}" and full(a, n) and full(a, n) == full(b, n)}
+    assert sorted(map(tuple, got.collect())) == sorted(want)
